@@ -11,6 +11,7 @@ file; other columns are ignored. A lost task is run again from its range of ids,
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,14 +26,16 @@ from loamline.llm.common import columns
 FILE = "shard int, segment long, first long, doc_ids array<long>, counts array<long>, offsets binary, words binary"
 DIGEST = "doc_id long, shard int, at long, n_tokens long, ids_crc32 long"
 #: Ids after which a segment ends, and memoised chunks that a worker holds.
-SEGMENT_IDS, MEMO = 1 << 18, 1_000_000
+SEGMENT_IDS, MEMO = 1 << 18, 800_000
 
 _held: dict = {}
 
 
 def chunk_encoder(tokenizer_json: str) -> Callable[[list[str]], list[np.ndarray]]:
     """Encodes texts chunk by chunk. A space after a character that is not white space always begins a pre-token of
-    byte-level BPE, so the ids of a text are those of its chunks, cut there; each worker keeps the chunks it has met."""
+    byte-level BPE, so the ids of a text are those of its chunks, cut there; each worker keeps the chunks it has met.
+    Texts without white space before a space are split plainly: a chunk's key is what follows its space, the first
+    chunk's has a space before it. In other texts chunks are their own keys, in a memo apart."""
     key = hash(tokenizer_json)
     if key not in _held:
         import os
@@ -41,25 +44,34 @@ def chunk_encoder(tokenizer_json: str) -> Callable[[list[str]], list[np.ndarray]
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _held[key] = Tokenizer.from_str(tokenizer_json), {}, re.compile(r"\s "), re.compile(r"(?<=\S) ")
-    tokenizer, memo, odd, cut = _held[key]
+        _held[key] = Tokenizer.from_str(tokenizer_json), {}, {}, re.compile(r"(?<=\S)(?= )")
+    tokenizer, plain, other, cut = _held[key]
 
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        chunked, wanted = [], set()
-        for text in texts:
-            parts = cut.split(text) if text[:1] == " " or odd.search(text) else text.split(" ")
-            parts[1:] = [" " + x for x in parts[1:]]
-            chunked.append(parts)
-            wanted.update(parts)
+    def learn(memo: dict, names: list[str], chunks: list[str]) -> None:
         if len(memo) > MEMO:
             memo.clear()
-        if missing := [x for x in wanted if x not in memo]:
-            for k in range(0, len(missing), 4096):
-                some = missing[k : k + 4096]
-                memo.update(zip(some, (np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)), strict=True))
-        return [np.frombuffer(b"".join([memo[x] for x in parts]), "<u4") for parts in chunked]
-
-    return encode
+        for k in range(0, len(names), 4096):
+            found = tokenizer.encode_batch_fast(chunks[k : k + 4096], add_special_tokens=False)
+            memo.update(zip(names[k : k + 4096], [array("I", e.ids).tobytes() for e in found], strict=True))
+
+    def encode(text: str) -> np.ndarray:
+        parts = text.split(" ")
+        parts[0] = " " + parts[0]
+        met = list(map(plain.get, parts))
+        if None in met:
+            new = list({p for p, v in zip(parts, met, strict=True) if v is None})
+            if not any(p == "" or p[-1].isspace() for p in new if p != " "):
+                learn(plain, new, [p[1:] if p[:1] == " " else " " + p for p in new])
+                met = [plain[p] if v is None else v for p, v in zip(parts, met, strict=True)]
+            else:
+                parts = cut.split(text)
+                met = list(map(other.get, parts))
+                new = list({p for p, v in zip(parts, met, strict=True) if v is None})
+                learn(other, new, new)
+                met = [other[p] if v is None else v for p, v in zip(parts, met, strict=True)]
+        return np.frombuffer(b"".join(met), "<u4")
+
+    return lambda texts: [encode(t) for t in texts]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = 2) -> None:
