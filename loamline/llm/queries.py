@@ -99,7 +99,7 @@ def _op2_sql() -> str:
         pattern = rule.pattern.replace("'", "''")
         parts.append(f"""
         select n, {rank} as rank, '{rule.kind}' as kind,
-          list_sum(list_transform(generate_series(1, i), k -> length(g[k]))) + coalesce(list_sum(list_transform(generate_series(1, i - 1), k -> length(m[k]))), 0) as start,
+          list_sum(list_transform(generate_series(1, i), lambda k: length(g[k]))) + coalesce(list_sum(list_transform(generate_series(1, i - 1), lambda k: length(m[k]))), 0) as start,
           length(m[i]) as len, length(v[i]) as measure, {rule.least} as least
         from (select n, g, m, v, unnest(generate_series(1, len(m))) as i
               from (select n, string_split_regex(t, '{pattern}') as g, regexp_extract_all(t, '{pattern}') as m,
@@ -131,13 +131,13 @@ from d left join c using (r) left join t using (r)"""
 _OP6_SQL = rf"""
 with recursive w as (select doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+'), []) as w from documents),
 s as (select doc_id, list_sort(list_distinct(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
-        else list_transform(generate_series(1, len(w) - 3), k -> array_to_string(w[k:k + 3], ' ')) end)) as s from w),
+        else list_transform(generate_series(1, len(w) - 3), lambda k: array_to_string(w[k:k + 3], ' ')) end)) as s from w),
 c as (select min(doc_id) as id, s, len(s) as n from s where len(s) > 0 group by s),
 e as (select id, n, unnest(s) as x from c),
 p as (select a.id as a, b.id as b from e a join e b on a.x = b.x and a.id < b.id and 100 * a.n >= 85 * b.n and 100 * b.n >= 85 * a.n
       group by a.id, b.id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
-both as (select a, b from p union all select b, a from p),
-r as (select id, id as o from c union select r.id, both.b from r join both on r.o = both.a),
+bi as (select a, b from p union all select b, a from p),
+r as (select id, id as o from c union select r.id, bi.b from r join bi on r.o = bi.a),
 m as (select id, min(o) as component from r group by id)
 select s.doc_id, cast(len(s.s) as bigint) as n_shingles, coalesce(m.component, s.doc_id) as component_id
 from s left join c on c.s = s.s left join m on m.id = c.id"""
