@@ -4,15 +4,15 @@ Documents with equal sets are one class; its first document stands for it. Two c
 >= threshold * union. Every linking pair of classes meets in a list:
  - small sets (at most `boundary` shingles) enumerate their subsets of the fixed sizes at which a partner may overlap;
    equal subsets meet. The boundary is where the subsets of a set start to cost more than its inverted lists.
- - large sets, and small ones that a large one may link to, stand in inverted lists of their rarest shingles, as many
-   as a link cannot all miss; a list holds one or two neighbouring ranges of size.
-The lists of one first document are one group. A group's sets are compared by a sparse product, in one task, or, if
+ - large sets, and small ones that a large one may link to, stand in inverted lists of the parts of a hashed partition
+   of the shingles, into more parts than a link of that range of sizes can differ in: one part at least is equal.
+The lists of one first class are one group. A group's sets are compared by a sparse product, in one task, or, if
 there are more than BLOCK, by pairs of blocks, so that no task holds more than two blocks and no pair becomes a row:
 what comes out is the links of a spanning forest of each product. Components come from the links by label
 propagation over tables in the shared folder.
 
-Shingles are 64-bit hashes from one pass of numpy over a batch's bytes. Rarity is a shingle's number in documents, for
-the most frequent (at most FREQUENT, counted where a partition has it twice), else least: any fixed order is exact.
+Shingles are 64-bit hashes from one pass of numpy over a batch's bytes. Lists of one class are dropped before anything
+is joined: keys that recur set bits in a bitmap of fixed size, by which each class's keys are filtered where they lie.
 
 Defined cases: null and empty texts, and texts without words, have no shingles and link with nothing; a text of fewer
 than `shingle` words is one shingle; repeated rows are of one class; a null doc_id is its own component (null); an
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from loamline.llm.common import columns, materialize, small
 
-FREQUENT, BLOCK, BATCH_BYTES = 500_000, 128, 1 << 22
+BLOCK, BATCH_BYTES, BITS = 128, 1 << 22, 1 << 27
 
 
 @dataclass(frozen=True)
@@ -138,34 +138,58 @@ def subset_cost(n: int, percent: int) -> int:
     return sum(math.comb(n, c) for c in fixed_sizes(n, percent))
 
 
-def boundary(percent: int, list_cost: float = 2.0, most: int = 64) -> int:
-    """The largest size whose subsets cost no more rows than list_cost times its inverted lists (two ranges each)."""
+def boundary(percent: int, most: int = 64) -> int:
+    """The largest size whose subsets cost no more rows than its inverted lists would."""
     x = 0
-    while x < most and subset_cost(x + 1, percent) <= list_cost * 2 * (x + 2 - needed(x + 1, percent)) + 2:
+    while x < most and subset_cost(x + 1, percent) <= 2 * sum(parts(r, percent)[0] for r in ranges(x + 1, percent)) + 8:
         x += 1
     return x
 
 
-def _range(n: int, percent: int) -> int:
-    return int(math.floor(math.log(max(n, 1)) / math.log(100 / percent) + 1e-9))
+RATIO = 1.5
 
 
-def keys(s: np.ndarray, order: np.ndarray, percent: int, bound: int) -> list[int]:
-    """The lists that a set stands in, as 64-bit keys. order: its shingles, rarest first."""
+def _range(n: int) -> int:
+    return int(math.floor(math.log(n) / math.log(RATIO) + 1e-9))
+
+
+def ranges(n: int, percent: int) -> list[int]:
+    """The ranges of size in whose lists a set of n stands: its own, and the next if a partner may be there."""
+    return list(range(_range(n), _range(max(n, 100 * n // percent)) + 1))
+
+
+def parts(r: int, percent: int) -> tuple[int, int]:
+    """Parts for pairs whose larger set is in range r, and how many of them may be empty in a set.
+
+    Sets that link differ in at most (1 - t) / (1 + t) of their sizes' sum, so at most that many parts differ; beyond
+    them and the empty ones one part stays that is equal and has shingles."""
+    most = math.ceil(RATIO ** (r + 1) - 1e-9)
+    differ = (100 - percent) * 2 * most // (100 + percent)
+    slack = max(2, differ // 10)
+    return differ + 1 + slack, slack
+
+
+def keys(s: np.ndarray, percent: int, bound: int) -> np.ndarray:
+    """The lists that a set (sorted) stands in, as 64-bit keys."""
     from itertools import combinations
 
-    n, out = len(s), []
+    n, out = len(s), [np.zeros(0, np.uint64)]
     with np.errstate(over="ignore"):
         if n <= bound:
             total = int(s.sum(dtype=np.uint64))
             for c in fixed_sizes(n, percent):
-                out += [np.array((total - sum(int(x) for x in gone)) & (1 << 64) - 1, np.uint64) ^ np.uint64(c * 0x9E3779B97F4A7C15 & (1 << 64) - 1) for gone in combinations(s, n - c)]
-        if 100 * n >= percent * (bound + 1) or n > bound:
-            prefix = order[: n - needed(n, percent) + 1]
-            z = _range(n, percent)
-            for k in (z, z + 1):
-                out.append(prefix * np.uint64(0xD6E8FEB86659FD93) + np.uint64(k + 1))
-    return _mixed(np.concatenate([np.atleast_1d(x) for x in out])).astype(np.int64).tolist() if out else []
+                found = [(total - sum(int(x) for x in gone)) & (1 << 64) - 1 for gone in combinations(s, n - c)]
+                out.append(np.array(found, np.uint64) ^ np.uint64(c * _ROOT & (1 << 64) - 1))
+        if n > bound or 100 * n >= percent * (bound + 1):
+            for r in ranges(n, percent):
+                count, slack = parts(r, percent)
+                part = (s >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)  # ascending, as s is
+                first = np.flatnonzero(np.diff(part, prepend=np.uint64(count)))
+                tag = np.uint64((r + 1) * 0xD6E8FEB86659FD93 & (1 << 64) - 1)
+                out.append(_mixed(np.add.reduceat(_mixed(s), first)) + part[first] * np.uint64(_ROOT) + tag)
+                if count - len(first) > slack:  # equal parts may all be empty ones
+                    out.append(np.setdiff1d(np.arange(count, dtype=np.uint64), part) * np.uint64(_ROOT) + tag)
+    return _mixed(np.concatenate(out))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -190,56 +214,52 @@ def judge(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     node = F.xxhash64("s1", "s2", "n").alias("node")  # a class, of whatever ids
     bound = boundary(percent)
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row a document (its set's size and signature), and rows of shingles that a batch of documents repeats."""
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 4096):
-                part = batch.slice(low, 4096)
+            for low in range(0, batch.num_rows, 1024):
+                part = batch.slice(low, 1024)
                 sets = shingle_sets(part.column(1).to_pylist(), k)
-                sign = [signature(s) for s in sets]
-                shingle, rows = np.unique(np.concatenate(sets), return_counts=True)
-                shingle, rows = shingle[rows > 1], rows[rows > 1]
-                n, m = len(sets), len(shingle)
-                none = pa.nulls(m, pa.int64())
+                marks = [signature(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.concat_arrays([part.column(0), none]),
-                        pa.concat_arrays([part.column(2), none]),
-                        pa.array([len(s) for s in sets] + rows.tolist(), pa.int64()),
-                        pa.array([x for x, _ in sign] + shingle.astype(np.int64).tolist(), pa.int64()),
-                        pa.array([x for _, x in sign] + [None] * m, pa.int64()),
-                        pa.array([True] * n + [False] * m),
+                        part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in marks], pa.int64()),
+                        pa.array([x for _, x in marks], pa.int64()), pa.array([keys(s, percent, bound).tobytes() if len(s) else b"" for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "text_key", "n", "s1", "s2", "document"],
-                )
+                    names=["doc_id", "text_key", "n", "s1", "s2", "keys"],
+                )
 
-    both = materialize(rows.mapInArrow(counted, "doc_id long, text_key long, n long, s1 long, s2 long, document boolean"), "sets")
-    each = both.filter("document").select("doc_id", "text_key", "n", node)
-    frequent = both.filter("not document").groupBy("s1").agg(F.sum("n").alias("n")).filter("n >= 8").orderBy(F.desc("n"), "s1").limit(FREQUENT).toPandas()
-    frequent = frequent.sort_values("s1", key=lambda c: c.to_numpy().astype(np.uint64))
-    # FREQUENT shingles at most
-    told = spark.sparkContext.broadcast((frequent.s1.to_numpy().astype(np.int64).astype(np.uint64), frequent.n.to_numpy().astype(np.int64)))
+    listing = materialize(rows.mapInArrow(listed, "doc_id long, text_key long, n long, s1 long, s2 long, keys binary").select("doc_id", "text_key", "n", node, "keys"), "sets")
+    each = listing.select("doc_id", "text_key", "n", "node")
     classes = materialize(each.filter("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "classes")
+    copies = materialize(each.filter("n > 0").join(classes.withColumnRenamed("doc_id", "first"), "node", "left").filter("doc_id is null or doc_id > first").select("doc_id", "node").distinct(), "copies")
+    firsts = listing.filter("n > 0").join(small(copies), listing["doc_id"].eqNullSafe(copies["doc_id"]) & (listing["node"] == copies["node"]), "left_anti").select(listing["node"], "keys")
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, count = told.value
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 1024):
-                part = batch.slice(low, 1024)
-                ids, marks, found = [], [], []
-                for name, s in zip(part.column(0).to_pylist(), shingle_sets(part.column(1).to_pylist(), k), strict=True):
-                    if name is None or not len(s):
-                        continue
-                    at = np.searchsorted(known, s) if len(known) else np.zeros(len(s), np.int64)
-                    rare = np.where(known[np.minimum(at, len(known) - 1)] == s, count[np.minimum(at, len(known) - 1)], 0) if len(known) else np.zeros(len(s), np.int64)
-                    ids.append(name)
-                    marks.append((*signature(s), len(s)))
-                    found.append(keys(s, s[np.lexsort((s, rare))], percent, bound))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array([m[j] for m in marks], pa.int64()) for j in range(3)), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "s1", "s2", "n", "keys"])
-
-    lists = rows.mapInArrow(listed, "doc_id long, s1 long, s2 long, n long, keys array<long>").select("doc_id", node, "keys")
-    lists = lists.join(classes, ["doc_id", "node"], "left_semi").select("node", F.explode("keys").alias("key"))
-    lists = materialize(lists.distinct(), "lists")
+            for low in range(0, batch.num_rows, 512):
+                found = b"".join(batch.column(1).slice(low, 512).to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(found, np.int64))], names=["key"])
+
+    # a class's keys differ; where its first document has equal rows they recur, which only costs
+    again = firsts.mapInArrow(flat, "key long").groupBy("key").count().filter("count > 1").select((F.pmod("key", F.lit(BITS)) + 1).alias("bit"))
+    maps = again.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    bitmap = np.zeros((BITS >> 15, 4096), np.uint8)  # BITS bits, whatever the data
+    for m in maps:
+        bitmap[m.bucket - 1] = np.frombuffer(m.bits, np.uint8)
+    told = spark.sparkContext.broadcast(bitmap)
+
+    def recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = told.value.reshape(-1)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 512):
+                names, found = batch.column(0).slice(low, 512).to_numpy(), batch.column(1).slice(low, 512).to_pylist()
+                key = np.frombuffer(b"".join(found), np.int64)
+                of = np.repeat(names, [len(x) // 8 for x in found])
+                at = key % BITS
+                keep = bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+                yield pa.RecordBatch.from_arrays([pa.array(of[keep]), pa.array(key[keep])], names=["node", "key"])
+
+    lists = materialize(firsts.mapInArrow(recurring, "node long, key long").distinct(), "lists")
     heads = lists.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
     members = materialize(lists.join(heads, "key").select("head", "node").distinct(), "members")
     sizes = members.groupBy("head").agg(F.count("*").alias("n")).select("head", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
@@ -247,7 +267,9 @@ def judge(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     # a pair of blocks is a group of its own: each block meets every other
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     spread = materialize(spread.select("head", "node", "block", other.alias("o")).select("head", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), "node"), "groups")
-    wanted = materialize(members.select("node").distinct().join(classes, "node"), "wanted")
+    # a class's groups go to its first document, so that its set is made once and moves once a group
+    wanted = spread.select("node", F.xxhash64("head", "x", "y").alias("g"), "head", "x", "y").groupBy("node").agg(F.collect_list(F.struct("g", "head", "x", "y")).alias("groups"))
+    wanted = small(materialize(wanted.join(classes, "node"), "wanted"))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,13 +277,17 @@ def judge(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 part = batch.slice(low, 1024)
                 sets = shingle_sets(part.column(1).to_pylist(), k)
                 marks = [(*signature(s), len(s)) for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([m[j] for m in marks], pa.int64()) for j in range(3)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "s1", "s2", "n", "set"])
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array([m[j] for m in marks], pa.int64()) for j in range(3)), part.column(2), part.column(3), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["s1", "s2", "n", "wanted", "groups", "set"],
+                )
 
-    # the texts of classes that stand in a list with others; an id may have other texts, of other classes
-    sets = rows.join(small(wanted.select("doc_id").distinct()), "doc_id", "left_semi").mapInArrow(shingled, "doc_id long, s1 long, s2 long, n long, set binary")
-    sets = sets.select("doc_id", node, "set").join(wanted, ["doc_id", "node"], "left_semi").drop("doc_id")
-    group = F.xxhash64("head", "x", "y")
-    placed = spread.join(sets, "node").select(group.alias("g"), "head", "x", "y", "node", "set")
+    kind = "array<struct<g:long,head:long,x:int,y:int>>"
+    met = rows.join(wanted.select("doc_id", F.col("node").alias("wanted"), "groups"), "doc_id").select("doc_id", "text", "wanted", "groups")
+    sets = met.mapInArrow(shingled, f"s1 long, s2 long, n long, wanted long, groups {kind}, set binary")
+    # an id may have other texts, of other classes
+    placed = sets.select(node, "wanted", "groups", "set").filter("node = wanted").select("node", "set", F.explode("groups").alias("q"))
+    placed = placed.select("q.g", "q.head", "q.x", "q.y", "node", "set")
     placed = placed.repartition("g").sortWithinPartitions("g", "head", "x", "y", "node")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
