@@ -87,30 +87,30 @@ def candidates(postings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
     return met.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
 
+def let(value: Column, of) -> Column:
+    """of(value), for which value is worked out once, however often of uses it."""
+    return F.transform(F.array(value), of)[0]
+
+
 def sums(lengths: Column) -> Column:
     """The sums of what is before each element, by chunks of CHUNK."""
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / CHUNK).cast("int")), lambda k: F.slice(lengths, k * CHUNK + 1, CHUNK))
     total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
-    whole = F.transform(chunks, total)
-    each = F.transform(chunks, lambda c, k: F.transform(c, lambda _, j: total(F.slice(whole, 1, k)) + total(F.slice(c, 1, j))))
-    return F.when(F.size(lengths) > 0, F.flatten(each)).otherwise(F.array().cast("array<int>"))
+    cut = lambda a: F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / CHUNK).cast("int")), lambda k: F.slice(a, k * CHUNK + 1, CHUNK))
+    inside = lambda chunk, base: F.transform(chunk, lambda _, j: base + total(F.slice(chunk, 1, j)))
+    each = lambda chunks, whole: F.flatten(F.transform(chunks, lambda c, k: let(total(F.slice(whole, 1, k)), lambda base: inside(c, base))))
+    return let(lengths, lambda a: F.when(F.size(a) > 0, let(cut(a), lambda c: let(F.transform(c, total), lambda w: each(c, w)))).otherwise(F.array().cast("array<int>")))
 
 
 def spans(text: Column, rule: Rule) -> Column:
     """array<struct<start, end, kind>> (code points) of the rule's leftmost matches that measure enough; null if none."""
     match = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     measured = match if not rule.group else F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    between = F.split(text, rule.pattern, -1)
-    before = sums(F.zip_with(F.slice(between, 1, F.size(match)), match, lambda g, m: F.length(g) + F.length(m)))
-    every = F.transform(
-        F.sequence(F.lit(1), F.size(match)),
-        lambda k: F.struct(
-            (F.element_at(before, k) + F.length(F.element_at(between, k))).alias("start"),
-            (F.element_at(before, k) + F.length(F.element_at(between, k)) + F.length(F.element_at(match, k))).alias("end"),
-            F.lit(rule.kind).alias("kind"),
-            F.length(F.element_at(measured, k)).alias("measure"),
-        ),
-    )
+    gaps = F.transform(F.split(text, rule.pattern, -1), lambda g: F.length(g))
+    sizes = F.arrays_zip(F.transform(match, lambda m: F.length(m)).alias("m"), F.transform(measured, lambda m: F.length(m)).alias("v"), gaps.alias("g"))
+    sizes = F.filter(sizes, lambda x: x["m"].isNotNull())  # one gap more than matches
+    before = lambda z: sums(F.transform(z, lambda x: x["m"] + x["g"]))
+    put = lambda x, s: F.struct((s + x["g"]).alias("start"), (s + x["g"] + x["m"]).alias("end"), F.lit(rule.kind).alias("kind"), x["v"].alias("measure"))
+    every = let(sizes, lambda z: F.zip_with(z, before(z), put))
     good = F.filter(every, lambda s: s["measure"] >= rule.least)
     return F.when(text.rlike(rule.pattern), F.transform(good, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
