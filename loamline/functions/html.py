@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Elements whose text isn't content, and the least length of a page's text.
 SKIPPED = ("script", "style", "nav", "footer", "header", "svg", "noscript", "form")
@@ -43,7 +44,7 @@ def body_text(html: str | None) -> str | None:
     return "\n".join(parser.parts)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def text(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Text nodes of the body outside SKIPPED, one a line."""
     for pages in parts:

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The characters that never count as garbage, beside letters, digits and white space.
 PLAIN = r""".,;:!?'"()\[\]{}\-_/\\@#%&*+=<>|~`$^"""
@@ -20,7 +21,7 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def repaired(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """UTF-8 once read as Latin-1 is read again, and the text composed (NFC). Null stays null."""
 
