@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from loamline.llm.common import columns, materialize, small
 
-BLOCK, BATCH_BYTES, BITS = 128, 1 << 22, 1 << 27
+BLOCK, BATCH_BYTES, BITS = 512, 1 << 22, 1 << 27
 
 
 @dataclass(frozen=True)
