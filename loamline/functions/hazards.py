@@ -28,7 +28,10 @@ def counts(c: Column, structured: bool) -> Column:
 
 def findings(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """key, field, type, severity, n: one row a hazard type of a field. Fields that begin with _ are the engine's own."""
-    per = [F.transform(counts(F.col(f), f in STRUCTURED), lambda x, f=f: F.struct(F.lit(f).alias("field"), x["type"].alias("type"), x["severity"].alias("severity"), x["n"].alias("n"))) for f in fields if not f.startswith("_")]
+    def of(f: str) -> Column:
+        return F.transform(counts(F.col(f), f in STRUCTURED), lambda x: F.struct(F.lit(f).alias("field"), x["type"].alias("type"), x["severity"].alias("severity"), x["n"].alias("n")))
+
+    per = [of(f) for f in fields if not f.startswith("_")]
     return df.select(key, F.explode(F.concat(*per)).alias("h")).select(key, "h.field", "h.type", "h.severity", "h.n")
 
 

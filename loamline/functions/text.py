@@ -16,6 +16,11 @@ TOKEN = r"[\p{L}\p{N}_]+"
 SPACES = r"[\s\p{Z}]+"
 
 
+def let(value: Column, of) -> Column:
+    """of(value), for which value is worked out once, however often of uses it (lambdas else repeat it)."""
+    return F.transform(F.array(value), of)[0]
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
@@ -100,28 +105,27 @@ def full_lines(c: Column) -> Column:
 
 def repeated_line_ratio(c: Column) -> Column:
     """Share of lines that repeat another; 0 under five lines."""
-    n = F.size(full_lines(c))
-    return F.when(n >= 5, 1 - F.size(F.array_distinct(full_lines(c))) / n).otherwise(0.0)
+    ratio = lambda x: F.when(F.size(x) >= 5, 1 - F.size(F.array_distinct(x)) / F.size(x)).otherwise(0.0)
+    return let(full_lines(c), ratio)
 
 
 def top_token_ratio(c: Column) -> Column:
     """Share of the most frequent token; 0 under twenty. Sorted tokens make runs; the longest run is the count."""
-    found = F.array_sort(tokens(c))
     start = F.struct(F.lit(0).alias("run"), F.lit(0).alias("best"), F.lit("").alias("last"))
 
     def step(a: Column, x: Column) -> Column:
         run = F.when(x == a["last"], a["run"] + 1).otherwise(1)
         return F.struct(run.alias("run"), F.greatest(a["best"], run).alias("best"), x.alias("last"))
 
-    best = F.aggregate(found, start, step, lambda a: a["best"])
-    return F.when(F.size(found) >= 20, best / F.size(found)).otherwise(0.0)
+    # sort_array compares natively; array_sort would by an expression
+    best = lambda x: F.aggregate(F.sort_array(x), start, step, lambda a: a["best"]) / F.size(x)
+    return let(tokens(c), lambda x: F.when(F.size(x) >= 20, best(x)).otherwise(0.0))
 
 
 def shingles(words: Column, k: int) -> Column:
     """Distinct runs of k words; fewer words are one shingle; none if there are no words."""
-    n = F.size(words)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, k), " "))
-    return F.when(n > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+    runs = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, k), " "))
+    return let(words, lambda w: F.when(F.size(w) > 0, F.array_distinct(runs(w))).otherwise(F.array().cast("array<string>")))
 
 
 def split_words(c: Column) -> Column:
@@ -131,7 +135,7 @@ def split_words(c: Column) -> Column:
 def minhash(found: Column, permutations: int = 128, seed: int = 42) -> Column:
     """One least hash a permutation."""
     seeds = F.sequence(F.lit(seed), F.lit(seed + permutations - 1))
-    return F.transform(seeds, lambda p: F.array_min(F.transform(found, lambda s: F.xxhash64(p, s))))
+    return let(found, lambda f: F.transform(seeds, lambda p: F.array_min(F.transform(f, lambda s: F.xxhash64(p, s)))))
 
 
 def minhash_similarity(a: Column, b: Column) -> Column:

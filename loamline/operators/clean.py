@@ -122,12 +122,13 @@ def structural(c: Column, least: int) -> Column:
 
 def behavioural(c: Column, conf: config.Clean) -> Column:
     """What is odd about a text, with its measure, or null."""
-    n, g, r, t = F.length(text.strip(c)), text.garbage_ratio(c), text.repeated_line_ratio(c), text.top_token_ratio(c)
-    return (
-        F.when(n > conf.max_chars, F.format_string("extreme length (%d chars)", n))
-        .when(g > conf.garbage_max, F.format_string("garbage ratio %.2f", g))
-        .when(r > conf.repeat_max, F.format_string("repeated-line ratio %.2f", r))
-        .when(t > conf.repeat_max, F.format_string("single-token dominance %.2f", t))
+    measures = F.struct(F.length(text.strip(c)).alias("n"), text.garbage_ratio(c).alias("g"), text.repeated_line_ratio(c).alias("r"), text.top_token_ratio(c).alias("t"))
+    return text.let(
+        measures,
+        lambda m: F.when(m["n"] > conf.max_chars, F.format_string("extreme length (%d chars)", m["n"]))
+        .when(m["g"] > conf.garbage_max, F.format_string("garbage ratio %.2f", m["g"]))
+        .when(m["r"] > conf.repeat_max, F.format_string("repeated-line ratio %.2f", m["r"]))
+        .when(m["t"] > conf.repeat_max, F.format_string("single-token dominance %.2f", m["t"])),
     )
 
 
@@ -136,9 +137,8 @@ def classify(c: Column, conf: config.Clean = config.Clean(), parse_error: Column
     bad = structural(c, conf.min_chars)
     if parse_error is not None:
         bad = F.when(parse_error, "json parse error").otherwise(bad)
-    odd = behavioural(c, conf)
     said = lambda k, r: F.struct(F.lit(k).alias("kind"), r.alias("reason"))
-    return F.when(bad.isNotNull(), said("structural", bad)).when(odd.isNotNull(), said("behavioral", odd)).otherwise(said("clean", F.lit("")))
+    return F.when(bad.isNotNull(), said("structural", bad)).otherwise(text.let(behavioural(c, conf), lambda odd: F.when(odd.isNotNull(), said("behavioral", odd)).otherwise(said("clean", F.lit("")))))
 
 
 def sanitize(df: DataFrame) -> DataFrame:

@@ -2,25 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamline.functions import text
-
-
-def table(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder (spark.checkpoint.dir; a local one where that is unset) and read back."""
-    spark = df.sparkSession
-    told = spark.conf.get("spark.checkpoint.dir", None)
-    if not told:
-        told = "file://" + tempfile.mkdtemp(prefix="loamline-")
-        spark.conf.set("spark.checkpoint.dir", told)
-    path = f"{told.rstrip('/')}/loamline/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from loamline.session import table
 
 
 def pairs(df: DataFrame, key: str = "doc_id", c: str = "text", k: int = 5, threshold: float = 0.85) -> DataFrame:

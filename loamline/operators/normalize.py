@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from loamline import config
 from loamline.functions import lang, text
 from loamline.operators import clean
+from loamline.session import table
 
 VERSION = "loamline-1"
 ABSTAIN = -1
@@ -131,6 +132,7 @@ def process(df: DataFrame, domains: DataFrame, order: list[str], synthetic: Data
     else:
         d = d.withColumn("_synthetic", F.lit(False))
     d = d.withColumn("reason", F.when(~F.col("_synthetic") & F.col("record.text").isNotNull(), validate(F.col("record"), conf.text_floor)))
+    d = table(d, "validated")  # read by the pause and by the dedup
     d = hard_pause(d, F.col("reason").isNotNull(), "source", order, conf.pause)
     ok = ~F.col("paused") & ~F.col("_synthetic") & F.col("record.text").isNotNull() & F.col("reason").isNull()
     key = F.when(ok, text.token_fingerprint(F.col("record.text"))).otherwise(F.concat_ws(":", F.lit("none"), *[F.col(c).cast("string") for c in order]))

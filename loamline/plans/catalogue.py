@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from loamline import config
 from loamline.functions import hazards, html, lang, licence, pii, text, urls
 from loamline.operators import catalog, clean, metrics, neardup, normalize
-from loamline.session import ship
+from loamline.session import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -222,7 +222,8 @@ def resume_by_journal(spark, sf_dir):
 
 
 def _cleaned(spark, sf_dir) -> DataFrame:
-    d = clean.clean(corpus(spark, sf_dir))
+    # written once: the dedup's pre-aggregation and the reports read it, and no rule is worked out again
+    d = table(clean.clean(corpus(spark, sf_dir)), "cleaned")
     key = F.when(F.col("route") == "clean", text.exact_fingerprint(F.col("text"))).otherwise(F.concat(F.lit("row:"), F.col("doc_id").cast("string")))
     return clean.first_wins(d, key, [F.col("source"), F.col("doc_id")])
 
