@@ -214,7 +214,8 @@ def data_funnel(stages: dict[str, DataFrame]) -> DataFrame:
 def rates(samples: DataFrame, by: str, ts: str, value: str) -> DataFrame:
     """Samples with `rate`: the increase a second since the last one, at least 0; null where no time passed."""
     w = Window.partitionBy(by).orderBy(ts)
-    dt = F.unix_micros(F.col(ts)) / 1e6 - F.lag(F.unix_micros(F.col(ts)) / 1e6).over(w)
+    at = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
+    dt = at - F.lag(at).over(w)
     return samples.withColumn("rate", F.when(dt > 0, F.greatest(F.lit(0.0), F.col(value) - F.lag(value).over(w)) / dt))
 
 

@@ -575,15 +575,16 @@ def near_dup_first_wins(spark, sf_dir):
 @query("""select event_id, round(case when epoch_us(ts) > lag(epoch_us(ts)) over w then greatest(0, value - lag(value) over w) / ((epoch_us(ts) - lag(epoch_us(ts)) over w) / 1e6) end, 6) as rate
  from events window w as (partition by event_type order by ts, event_id)""")
 def event_rate(spark, sf_dir):
-    d = read(spark, sf_dir, "events").select("event_id", "event_type", F.struct("ts", "event_id").alias("_o"), "ts", "value")
+    d = read(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
     w = Window.partitionBy("event_type").orderBy("ts", "event_id")
-    dt = (F.unix_micros("ts") - F.lag(F.unix_micros("ts")).over(w)) / 1e6
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    dt = (at - F.lag(at).over(w)) / 1e6
     return rounded(d.select("event_id", F.when(dt > 0, F.greatest(F.lit(0.0), F.col("value") - F.lag("value").over(w)) / dt).alias("rate")))
 
 
-@query("""with s as (select event_type as stage, min(ts) as started from events group by 1) select stage, epoch_us(started) as started, epoch_us(lead(started) over (order by started, stage)) as ended from s""")
+@query("""with s as (select event_type as stage, min(ts) as started from events group by 1) select stage, strftime(started, '%Y-%m-%d %H:%M:%S.%f') as started, strftime(lead(started) over (order by started, stage), '%Y-%m-%d %H:%M:%S.%f') as ended from s""")
 def stage_timeline(spark, sf_dir):
-    return catalog.timeline(read(spark, sf_dir, "events"), "event_type", "ts").select("stage", F.unix_micros("started").alias("started"), F.unix_micros("ended").alias("ended"))
+    return catalog.timeline(read(spark, sf_dir, "events"), "event_type", "ts").select("stage", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) for c in ("started", "ended")])
 
 
 @query("""select user_id % 20 as run, count_if(event_type = 'view') as found, count_if(event_type = 'purchase') as candidates, count_if(event_type = 'click') as duplicates, count_if(false) as bad_link, count_if(false) as junk_host,
