@@ -12,6 +12,7 @@ from pyspark.sql.types import ArrayType, StringType, StructType
 
 from loamline import config
 from loamline.functions import lang, pii, text
+from loamline.session import table
 
 #: Fields in the order in which they are tried.
 COMBINATIONS = (
@@ -157,10 +158,12 @@ def sanitize(df: DataFrame) -> DataFrame:
     return df.withColumn("_sanitized", changes).withColumns({k: v for k, v in out.items()}) if out else df.withColumn("_sanitized", F.lit(False))
 
 
-def clean(df: DataFrame, conf: config.Clean = config.Clean(), drop_foreign: bool = False, translate: lang.Translator = lang.no_translator) -> DataFrame:
+def clean(df: DataFrame, conf: config.Clean = config.Clean(), drop_foreign: bool = False, translate: lang.Translator = lang.no_translator, written: bool = True) -> DataFrame:
     """Each record of df (any shape) with text, route, stage, reason, pii (spans redacted), lang and counters' flags.
 
-    The order of stages is the engine's contract: map, sanitise, anomaly, redaction, language.
+    The order of stages is the engine's contract: map, sanitise, anomaly, redaction, language. The result is written to
+    the shared folder and read back (written=True), so that filters and self-joins after it don't work the rules out
+    again; written=False leaves the plan lazy.
     """
     d = map_text(df)
     before = structural(F.col("text"), conf.min_chars)
@@ -185,7 +188,8 @@ def clean(df: DataFrame, conf: config.Clean = config.Clean(), drop_foreign: bool
     fixed = F.col("_was_bad") & F.col("_sanitized") & (F.col("_class.kind") != "structural") & (F.col("_class.kind") != "excluded")
     d = d.withColumns({"route": route, "stage": stage, "reason": reason, "struct_fixed": fixed, "_orig_lang": F.when(F.col("_translated").isNotNull(), F.col("detected"))})
     d = d.withColumn("text", F.coalesce("_translated", "text"))
-    return d.withColumnRenamed("_sanitized", "sanitized").drop("_class", "_pii", "_translated", "_was_bad")
+    d = d.withColumnRenamed("_sanitized", "sanitized").drop("_class", "_pii", "_translated", "_was_bad")
+    return table(d, "cleaned") if written else d
 
 
 def first_wins(df: DataFrame, key: Column, order: list[Column], reason: str = "exact duplicate") -> DataFrame:
@@ -194,9 +198,10 @@ def first_wins(df: DataFrame, key: Column, order: list[Column], reason: str = "e
     The first row of a key is found by a pre-aggregated minimum, so a key of a third of all rows meets in no task.
     """
     d = df.withColumn("_key", key).withColumn("_at", F.struct(*order))
-    first = d.groupBy("_key").agg(F.min("_at").alias("_first"))
-    d = d.join(first, "_key").withColumn("duplicate", F.col("_at") != F.col("_first"))
-    return d.withColumn("dup_reason", F.when(F.col("duplicate"), F.lit(reason))).drop("_key", "_at", "_first")
+    first = d.groupBy(F.col("_key").alias("_of")).agg(F.min("_at").alias("_first"))
+    # null-safe: a null key is a key, and no filter on the key's expression is pushed down
+    d = d.join(first, F.col("_key").eqNullSafe(F.col("_of"))).withColumn("duplicate", F.col("_at") != F.col("_first"))
+    return d.withColumn("dup_reason", F.when(F.col("duplicate"), F.lit(reason))).drop("_key", "_of", "_at", "_first")
 
 
 def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
