@@ -34,7 +34,8 @@ def needed(n: Column, percent: int) -> Column:
 def lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, line (from 0), words, class of each line with words; each distinct document once."""
     d = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n", -1)).alias("line", "body"))
-    d = d.withColumn("words", line_words(F.col("body"))).filter("size(words) > 0")
+    # one string: an array of short strings takes three times the room in a shuffle
+    d = d.withColumn("words", F.array_join(line_words(F.col("body")), " ")).filter("words != ''")
     return d.select("doc_id", "text_key", "line", "words", F.xxhash64("words").alias("class"))
 
 
@@ -45,7 +46,7 @@ def classes(found: DataFrame) -> DataFrame:
 
 def rarity(each: DataFrame) -> Column:
     """A literal array: the number of classes with a word of each hashed bucket (BUCKETS numbers, whatever the data)."""
-    counts = each.select(F.explode("words").alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
+    counts = each.select(F.explode(F.split("words", " ")).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
     table = [0] * BUCKETS
     for r in counts.collect():
         table[r.b] = min(r.n, (1 << 15) - 1)
@@ -55,8 +56,9 @@ def rarity(each: DataFrame) -> Column:
 def linked(each: DataFrame, percent: int = PERCENT) -> DataFrame:
     """a, b: classes whose Jaccard similarity is at least percent, in either order."""
     rank = rarity(each)
-    code = F.transform("words", lambda w: F.shiftleft(F.get(rank, F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")).cast("long"), 48).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.lit(1), w), 16)))
-    n = F.size("words")
+    each = each.withColumn("w", F.split("words", " "))
+    code = F.transform("w", lambda w: F.shiftleft(F.get(rank, F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")).cast("long"), 48).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.lit(1), w), 16)))
+    n = F.size("w")
     ordered = each.select("class", n.alias("n"), F.slice(F.sort_array(code), 1, n - needed(n, percent) + 1).alias("prefix"))
     z = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
     lists = ordered.select("class", "n", z.alias("z"), F.posexplode("prefix").alias("at", "word")).select("class", "n", "at", "word", F.explode(F.array(F.col("z"), F.col("z") + 1)).alias("z"))
@@ -73,8 +75,9 @@ def linked(each: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     words = each.select("class", "words")
     pairs = met.join(words.select(F.col("class").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("class").alias("b"), F.col("words").alias("wb")), "b")
-    common = F.size(F.array_intersect("wa", "wb"))
-    return pairs.filter(common * 100 >= (F.size("wa") + F.size("wb") - common) * percent).select("a", "b")
+    wa, wb = F.split("wa", " "), F.split("wb", " ")
+    common = F.size(F.array_intersect(wa, wb))
+    return pairs.filter(common * 100 >= (F.size(wa) + F.size(wb) - common) * percent).select("a", "b")
 
 
 def removed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
