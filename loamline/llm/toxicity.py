@@ -83,13 +83,9 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, settings: Sett
         s = 1 / (1 + np.exp(-np.clip(g, -30, 30)))
         loss_neg = np.logaddexp(0, g)
         negative = loss_neg[n:].mean() - prior * loss_neg[:n].mean()
-        each = np.zeros(n + m)
-        if negative >= 0:
-            each[:n] = prior * ((s[:n] - 1) - s[:n]) / n
-            each[n:] = s[n:] / m
-        else:  # the estimate of a risk is below zero: step back from what overfits
-            each[:n] = prior * s[:n] / n
-            each[n:] = -s[n:] / m
+        if negative < 0:
+            break  # the estimate of a risk falls below zero: from here on only the samples are learned
+        each = np.append(prior * ((s[:n] - 1) - s[:n]) / n, s[n:] / m)
         grad = np.append(np.bincount(cols_, weights=each[rows_], minlength=len(known)) + settings.decay * w, each.sum())
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.999 * m2 + 0.001 * grad**2
         move = settings.rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
