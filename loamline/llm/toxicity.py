@@ -2,7 +2,9 @@
 
 A linear model over the presence of words and word beginnings is trained with numpy from texts known to be toxic
 (positive) and texts of unknown label. The risk of the negative class is estimated from the unlabelled texts less the
-share of it that the class prior says are positive, held at zero from below (Kiryo et al., 2017). The fit takes at
+share of it that the class prior says are positive, held at zero from below (Kiryo et al., 2017): where the estimate is
+negative, a step goes up it instead. The prior is the toxic share of the labelled rows, so labels have to be a random
+draw: where toxic texts are labelled more often than others, too much is called toxic. The fit takes at
 most `positives` and about `unlabelled` texts of up to `longest` characters, chosen by a hash; the class prior comes from all labelled rows.
 Every document is scored over its whole text, where it lies, without a shuffle.
 
@@ -83,9 +85,13 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, settings: Sett
         s = 1 / (1 + np.exp(-np.clip(g, -30, 30)))
         loss_neg = np.logaddexp(0, g)
         negative = loss_neg[n:].mean() - prior * loss_neg[:n].mean()
-        if negative < 0:
-            break  # the estimate of a risk falls below zero: from here on only the samples are learned
-        each = np.append(prior * ((s[:n] - 1) - s[:n]) / n, s[n:] / m)
+        each = np.zeros(n + m)
+        if negative >= 0:
+            each[:n] = prior * ((s[:n] - 1) - s[:n]) / n
+            each[n:] = s[n:] / m
+        else:  # the estimate of a risk is below zero: step back from what overfits
+            each[:n] = prior * s[:n] / n
+            each[n:] = -s[n:] / m
         grad = np.append(np.bincount(cols_, weights=each[rows_], minlength=len(known)) + settings.decay * w, each.sum())
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.999 * m2 + 0.001 * grad**2
         move = settings.rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)

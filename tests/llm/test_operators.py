@@ -293,6 +293,28 @@ def test_toxicity(spark, empty):
     assert {x.score for x in toxicity.score(docs, none).collect()} == {0.0}
 
 
+def test_toxicity_of_random_labels(spark):
+    """Weak words, labels drawn at random: the estimated risk falls below zero long before the fit is done."""
+    r, letters = random.Random(1), "abcdefghijklmnopqrstuvwxyz"
+    data, labels, toxic = [], [], set()
+    for i in range(1200):
+        words = ["w" + r.choice(letters) + r.choice(letters) for _ in range(r.randrange(5, 80))]
+        if r.random() < 0.13:
+            toxic.add(i)
+            words += [f"foul{letters[k % 26]}{letters[k // 26]}" for k in r.sample(range(40), 5)]
+        elif r.random() < 0.3:
+            k = r.randrange(40)
+            words.append(f"foul{letters[k % 26]}{letters[k // 26]}")
+        data.append((i, " ".join(words)))
+        if r.random() < 0.4:
+            labels.append((i, int(i in toxic)))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), ~toxicity.held_out(F.col("doc_id")))
+    said = {x.doc_id for x in toxicity.score(docs, model).filter("predicted = 1").collect()}
+    held = {i for i, _ in data if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert len(held & said & toxic) >= 0.7 * len(held & toxic) and len(held & (said ^ toxic)) <= 0.1 * len(held)
+
+
 def test_language_id(spark):
     texts = {"en": "the house and the garden of the town with a river", "de": "das Haus und der Garten der Stadt mit einem Fluss", "fr": "la maison et le jardin de la ville avec une rivière"}
     r = random.Random(3)
