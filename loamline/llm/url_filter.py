@@ -34,9 +34,8 @@ BASE_RULES = (
 class Settings:
     least_support: float = 0.002
     least_confidence: float = 0.8
-    #: Tokens of a URL that may take part: the last labels of its host and the first parts of its path.
+    #: The last labels of a host are tokens as suffixes, up to so many; each label before them is a token by its place.
     host_labels: int = 4
-    path_parts: int = 3
     default: str = "allow"
 
 
@@ -61,18 +60,23 @@ def base_rule(host: Column, path: Column, rules=BASE_RULES) -> Column:
 
 
 def tokens(url: Column, settings: Settings = Settings()) -> Column:
-    """Distinct tokens: scheme, host suffixes, first path parts (digits as one token), whether there is a query or fragment."""
+    """Distinct tokens: scheme, host suffixes and the labels before them, path parts, query keys and parameters (digits as
+    one token), whether there is a query or fragment (whose text is no token). Support and confidence prune."""
     host, path = host_of(url), path_of(url)
     labels = F.filter(F.split(host, r"\."), lambda x: x != "")
     n = F.size(labels)
     suffixes = F.transform(F.sequence(F.lit(1), F.lit(settings.host_labels)), lambda k: F.when(k <= n, F.concat(F.lit("host="), F.array_join(F.slice(labels, F.greatest(n - k + 1, F.lit(1)), k), "."))))
-    parts = F.slice(F.filter(F.split(path, "/"), lambda x: x != ""), 1, settings.path_parts)
+    deeper = F.transform(labels, lambda x, k: F.when(n - k > settings.host_labels, F.concat(F.lit("label"), (n - k).cast("string"), F.lit("="), x)))
+    parts = F.filter(F.split(path, "/"), lambda x: x != "")
     shaped = F.transform(parts, lambda x, k: F.concat(F.lit("part"), k.cast("string"), F.lit("="), F.regexp_replace(x, r"[0-9]+", "0")))
+    query = F.filter(F.split(F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1), "&"), lambda x: x != "")
+    keys = F.transform(query, lambda x: F.concat(F.lit("key="), F.substring_index(x, "=", 1)))
+    given = F.transform(F.filter(query, lambda x: x.contains("=")), lambda x: F.concat(F.lit("given="), F.regexp_replace(x, r"[0-9]+", "0")))
     more = F.array(
         F.concat(F.lit("scheme="), F.lower(F.regexp_extract(url, r"(?s)^(.*?)://", 1))),
         F.when(url.contains("?"), F.lit("query")), F.when(url.contains("#"), F.lit("fragment")),
     )
-    found = F.array_distinct(F.filter(F.concat(suffixes, shaped, more), lambda x: x.isNotNull()))
+    found = F.array_distinct(F.filter(F.concat(suffixes, deeper, shaped, keys, given, more), lambda x: x.isNotNull()))
     return F.when(url.contains("://"), found).otherwise(F.array().cast("array<string>"))
 
 

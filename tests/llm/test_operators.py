@@ -271,6 +271,15 @@ def test_url_filter(spark):
     assert url_filter.judge(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("bad,good", [("s{}.net/a/b/c/ads/x", "s{}.net/a/b/c/news/x"), ("ads.x.y.s{}.net/", "www.x.y.s{}.net/"), ("s{}.net/?utm_source=feed", "s{}.net/?utm_source=mail"), ("s{}.net/?a=1&ad=2", "s{}.net/?a=1&page=2")])
+def test_url_patterns_in_every_part(spark, bad, good):
+    urls = [(f"http://{x.format(k)}", v) for k in range(20) for x, v in ((bad, "block"), (good, "allow"))]
+    rules = url_filter.mine(spark.createDataFrame(urls, "url string, verdict string"))
+    new = spark.createDataFrame([(f"http://{x.format(77)}", v) for x, v in ((bad, "block"), (good, "allow"))], "url string, want string")
+    found = {r.url: r.mined_verdict for r in url_filter.match(new, rules).collect()}
+    assert found == {r.url: r.want for r in new.collect()}
+
+
 def test_toxicity(spark, empty):
     r = random.Random(2)
     data, labels = [], []
