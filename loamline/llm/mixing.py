@@ -136,13 +136,23 @@ def in_order(planned: DataFrame) -> DataFrame:
 
 def draw(docs: DataFrame, curriculum: Curriculum = Curriculum()) -> DataFrame:
     """The rows of docs in training order, whole and as often as they are drawn."""
-    planned = plan(docs, curriculum, whole=True).filter(F.size("draws") > 0).groupBy(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("text_key").alias("_t"))
-    # equal rows draw at different places; one row a distinct document holds them all
-    planned = planned.agg(F.array_sort(F.flatten(F.collect_list("draws"))).alias("_draws"), F.count("*").alias("_rows"))
+    planned = plan(docs, curriculum, whole=True).groupBy(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("text_key").alias("_t"))
+    # rows of one document draw at different places: one list of draws a row, those without draws last
+    lists = F.array_sort(F.collect_list(F.when(F.size("draws") > 0, F.col("draws"))))
+    planned = materialize(planned.agg(lists.alias("_draws"), F.count("*").alias("_rows")).filter(F.size("_draws") > 0), "draws")
     every = docs.columns
     keyed = docs.withColumn("_key", F.xxhash64("text"))
-    met = keyed.join(planned, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_key") == F.col("_t")))
-    if_one = met.filter("_rows = 1").select(*every, F.explode("_draws").alias("_draw"))
-    more = met.filter("_rows > 1").dropDuplicates(["_d", "_s", "_t"]).select(*every, F.explode("_draws").alias("_draw"))
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_key") == F.col("_t"))
+    if_one = keyed.join(planned.filter("_rows = 1"), same).select(*every, F.explode(F.flatten("_draws")).alias("_draw"))
+    # of several rows, those equal in all columns are one with a number; they take the lists in the order of the other columns
+    several = planned.filter("_rows > 1")
+    other = [c for c in every if c not in ("doc_id", "source", "text")]
+    tag = F.to_json(F.struct(*other), {"ignoreNullFields": "false"}) if other else F.lit("")
+    rows = keyed.join(several.drop("_draws"), same).withColumn("_tag", tag).groupBy("_d", "_s", "_t", "_tag").agg(F.first(F.struct(*every)).alias("_row"), F.count("*").alias("_n"))
+    rows = rows.withColumn("_end", F.sum("_n").over(Window.partitionBy("_d", "_s", "_t").orderBy("_tag")))
+    a, b = rows.alias("a"), several.alias("b")
+    met = a.join(b, F.col("a._d").eqNullSafe(F.col("b._d")) & F.col("a._s").eqNullSafe(F.col("b._s")) & (F.col("a._t") == F.col("b._t")))
+    own = F.flatten(F.slice("_draws", (F.col("_end") - F.col("_n") + 1).cast("int"), F.col("_n").cast("int")))
+    more = met.select("_row.*", F.explode(own).alias("_draw"))
     order = [F.col("_draw.position"), F.col("doc_id"), F.col("_draw.repeat")]
     return if_one.unionByName(more).repartitionByRange(*order).sortWithinPartitions(*order).select(*every)

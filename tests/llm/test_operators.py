@@ -120,6 +120,18 @@ def test_mixing(spark, docs, empty):
     assert drawn.columns == docs.columns and drawn.count() > 0
 
 
+def test_mixing_keeps_the_other_columns_of_repeated_rows(spark):
+    one = Counter({("a", 1): 1, ("b", 2): 1, (None, 3): 1, ("c", 4): 2})
+    data = [(7, "some five words in here", "s", *k) for k, n in one.items() for _ in range(n)] + [(None, "no id", "s", "x", 1), (None, "no id", "s", "y", 2)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, lang string, n_chars long").repartition(3)
+    twice, once = (mixing.draw(docs, mixing.Curriculum(share=x)) for x in (2.0, 1.0))
+    count = lambda d: Counter((r.doc_id, r.text, r.source, r.lang, r.n_chars) for r in d.collect())
+    assert count(twice) == Counter({r: 2 * n for r, n in Counter(data).items()})
+    assert count(once) == Counter(data)
+    some = mixing.draw(docs, mixing.Curriculum(share=0.5))
+    assert sum(count(some).values()) == sum(len(r.draws) for r in mixing.plan(docs, mixing.Curriculum(share=0.5), whole=True).collect())
+
+
 def test_position_inverts_the_schedule(spark):
     knots = [(0.0, 0.5, 0.4, 1.2, 0.0), (0.5, 1.0, 1.2, 1.2, 0.4)]
     d = spark.createDataFrame([(f / 20, knots) for f in range(21)], "f double, k array<struct<a:double,b:double,v:double,w:double,done:double>>")
