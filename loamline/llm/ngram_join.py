@@ -15,8 +15,8 @@ Shingles are 64-bit hashes from one pass of numpy over a batch's bytes. Lists of
 is joined: keys that recur set bits in a bitmap of fixed size, by which each class's keys are filtered where they lie.
 
 Defined cases: null and empty texts, and texts without words, have no shingles and link with nothing; a text of fewer
-than `shingle` words is one shingle; repeated rows are of one class; a null doc_id is its own component (null); an
-empty table gives no rows; extra columns are kept by first_of_each().
+than `shingle` words is one shingle; repeated rows are of one class; a null doc_id is its own component (null) in
+judge(), while first_of_each() lets its text link; an empty table gives no rows; extra columns are kept by first_of_each().
 """
 
 from __future__ import annotations
@@ -364,7 +364,25 @@ def _compare(ids: list[int], sets: list[np.ndarray], percent: int, a: list[int],
 
 
 def first_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of docs less all but the document of least id of each component; rows equal in id and text stay together."""
-    gone = judge(docs, settings).filter("doc_id != component_id").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    gone = small(materialize(gone, "copies"))
-    return docs.join(gone, (docs["doc_id"] == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left_anti")
+    """The rows of docs less all but the document of least id of each component; rows equal in id and text stay together.
+
+    Texts without an id take part: they go where a document with an id is in their component, else one row stays."""
+    id_, key = docs["doc_id"], F.xxhash64(docs["text"])
+    if not docs.filter(id_.isNull()).head(1):
+        gone = judge(docs, settings).filter("doc_id != component_id").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+        gone = small(materialize(gone, "copies"))
+        return docs.join(gone, (id_ == F.col("_id")) & (key == F.col("_key")), "left_anti")
+    # a text without an id gets one from its hash, which only tells it from others; an id of docs goes before it
+    made = F.xxhash64(F.lit("no id"), "text_key")
+    keyed = columns(docs, "doc_id", "text").withColumn("text_key", F.xxhash64("text")).select(F.coalesce(F.col("doc_id").cast("long"), made).alias("doc_id"), "text")
+    judged = judge(keyed, settings).filter("n_shingles > 0").select("component_id", "text_key", F.col("doc_id").alias("_id"), (F.col("doc_id") == made).alias("_made")).distinct()
+    judged = materialize(judged, "judged")
+    first = judged.groupBy("component_id").agg(F.min(F.struct("_made", "_id")).alias("first"))
+    gone = judged.join(first, "component_id").filter(F.struct("_made", "_id") != F.col("first"))
+    gone = small(materialize(gone.select(F.when(~F.col("_made"), F.col("_id")).alias("_id"), F.col("text_key").alias("_key")).distinct(), "copies"))
+    kept = docs.join(gone, id_.eqNullSafe(F.col("_id")) & (key == F.col("_key")), "left_anti")
+    # of rows without an id, equal texts are one row, the least; texts without words link with nothing
+    every, without = docs.columns, F.col("doc_id").isNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    row = F.struct(*every)
+    one = kept.filter(without).groupBy(F.xxhash64("text").alias("_key")).agg(F.min_by(row, F.to_json(row, {"ignoreNullFields": "false"})).alias("_row"))
+    return kept.filter(~F.coalesce(without, F.lit(False))).unionByName(one.select("_row.*"))

@@ -232,6 +232,15 @@ def test_ngram_join_hot_group_and_edges(spark, empty, docs):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= {0, 1, 2, None}
 
 
+def test_ngram_join_without_ids(spark):
+    own, other = prose(80, 11), prose(80, 12)
+    data = [(5, BASE, "a"), (9, edits(BASE, 1, 1), "b"), (None, BASE, "c"), (None, edits(BASE, 1, 2), "d"), (None, own, "f"), (None, own, "e"), (None, edits(own, 1, 3), "g"), (None, other, "h"), (None, "", "i"), (None, None, "j"), (None, "", "i")]
+    kept = ngram_join.first_of_each(spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(3))
+    found = sorted(r.lang for r in kept.collect())
+    assert kept.columns == ["doc_id", "text", "lang"] and len(found) == 6
+    assert found in (["a", "e", "h", "i", "i", "j"], ["a", "g", "h", "i", "i", "j"])
+
+
 def test_fingerprints(spark, docs, empty):
     found = fingerprint.with_next(docs).collect()
     assert len(found) == len(rows())
