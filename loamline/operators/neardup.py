@@ -1,4 +1,4 @@
-"""Near duplicates as a diagnostic: exact Jaccard pairs behind a prefix filter, MinHash bands, and greedy first wins."""
+"""Near duplicates as a diagnostic: exact Jaccard pairs behind a prefix filter, estimated ones behind MinHash bands, and greedy first wins."""
 
 from __future__ import annotations
 
@@ -55,3 +55,23 @@ def first_wins(edges: DataFrame) -> DataFrame:
 def band_keys(signature: Column, bands: int = 32) -> Column:
     """One hash a band of a MinHash signature, for candidate joins."""
     return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.xxhash64(k, F.slice(signature, (k * F.floor(F.size(signature) / bands) + 1).cast("int"), F.floor(F.size(signature) / bands).cast("int"))))
+
+
+def band_pairs(df: DataFrame, key: str = "doc_id", c: str = "text", k: int = 5, threshold: float = 0.85, permutations: int = 128, bands: int = 32) -> DataFrame:
+    """a, b, similarity (a < b) of the pairs of texts that share a band and whose estimated similarity is at or above the threshold.
+
+    Equal signatures are one class until the end, as in pairs(); a pair that shares no band is missed (chance (1 - s^rows)^bands)."""
+    found = text.shingles(text.split_words(F.col(c)), k)
+    signed = df.select(F.col(key).alias("id"), found.alias("s")).filter("size(s) > 0").select("id", text.minhash(F.col("s"), permutations).alias("m"))
+    signed = table(signed.withColumn("class", F.xxhash64("m")), "signatures")
+    members = signed.select("id", "class")
+    classes = table(signed.groupBy("class").agg(F.first("m").alias("m")), "classes")
+    each = table(classes.select("class", F.explode(band_keys(F.col("m"), bands)).alias("x")), "bands")
+    met = each.alias("p").join(each.alias("q"), (F.col("p.x") == F.col("q.x")) & (F.col("p.class") < F.col("q.class")))
+    met = met.select(F.col("p.class").alias("p"), F.col("q.class").alias("q")).distinct()
+    met = met.join(classes.select(F.col("class").alias("p"), F.col("m").alias("mp")), "p").join(classes.select(F.col("class").alias("q"), F.col("m").alias("mq")), "q")
+    linked = met.select("p", "q", text.minhash_similarity(F.col("mp"), F.col("mq")).alias("similarity")).filter(F.col("similarity") >= threshold)
+    same = classes.select(F.col("class").alias("p"), F.col("class").alias("q"), F.lit(1.0).alias("similarity"))
+    both = linked.union(linked.select("q", "p", "similarity")).union(same)
+    left, right = members.select(F.col("id").alias("a"), F.col("class").alias("p")), members.select(F.col("id").alias("b"), F.col("class").alias("q"))
+    return both.join(left, "p").join(right, "q").filter("a < b").select("a", "b", "similarity")

@@ -141,6 +141,14 @@ def test_near_duplicates(spark):
     assert {r.id: r.kept for r in neardup.first_wins(chain).collect()} == {1: True, 2: False, 3: True}
 
 
+def test_near_duplicates_by_bands(spark):
+    base = [f"w{i}" for i in range(300)]
+    texts = {1: " ".join(base), 2: " ".join([*base, "x1", "x2"]), 3: " ".join(reversed(base)), 4: " ".join(base), 5: " ".join(base[:150]), 6: None, 7: "", 8: "only two"}
+    found = neardup.band_pairs(spark.createDataFrame(list(texts.items()), "doc_id int, text string")).collect()
+    assert {(r.a, r.b) for r in found} == {(1, 2), (1, 4), (2, 4)} and all(r.similarity >= 0.85 for r in found)
+    assert {r.similarity for r in found if (r.a, r.b) == (1, 4)} == {1.0}
+
+
 def test_catalog(spark):
     assert of(spark, catalog.verdict, '{"verdict": "decline"}', "not json", '{"verdict": "approve"}') == ["decline", "review", "approve"]
     rows = spark.createDataFrame([("GPL-3.0", "http://a"), ("GPL-3.0", ""), ("MIT", "http://b")], "license string, url string")
