@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from loamline.llm.common import columns, materialize, small
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words, told by the characters that they hold: a negated class of ranges takes Java's matcher some 30 times as long.
+WORD = r"[0-9a-z\x80-\x{10FFFF}]+"
 #: The same words before A-Z are lower-cased.
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RAW_WORD = r"[0-9A-Za-z\x80-\x{10FFFF}]+"
 WINDOW = 10
 #: Windows that are broadcast at once; a larger benchmark is gone through in blocks of these.
 BLOCK_WINDOWS = 100_000
