@@ -27,12 +27,13 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     places = np.arange(n, dtype=np.int32)
     ends = np.minimum((places // BLOCK + 1) * BLOCK, n)
     left = ends - places
-    selector = np.full(n, len(COUNTS) - 1, np.uint8)
     if ids.max() < len(_NARROW):
         need = _NARROW[ids.astype(np.int64)]
     else:
         need = np.searchsorted(np.uint64(1) << WIDTHS.astype(np.uint64), ids, side="right").astype(np.uint8)
-    for s in range(len(COUNTS) - 2, -1, -1):
+    most = min(int(need.max()), len(COUNTS) - 1)  # whatever comes next fits a word of this selector
+    selector = np.full(n, most, np.uint8)
+    for s in range(most - 1, -1, -1):
         count = COUNTS[s]
         wide = np.flatnonzero(need > s).astype(np.int32)
         if len(wide) and np.diff(wide, prepend=-1, append=n).max() <= count:

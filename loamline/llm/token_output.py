@@ -10,12 +10,15 @@ file; other columns are ignored. A lost task is run again from its range of ids,
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,53 +28,155 @@ from loamline.llm.common import columns
 
 FILE = "shard int, segment long, first long, doc_ids array<long>, counts array<long>, offsets binary, words binary"
 DIGEST = "doc_id long, shard int, at long, n_tokens long, ids_crc32 long"
-#: Ids after which a segment ends, and memoised chunks that a worker holds.
-SEGMENT_IDS, MEMO = 1 << 18, 800_000
+#: Ids after which a segment ends, bytes of text that are split at once, and bytes of chunks that a worker remembers.
+SEGMENT_IDS, SPLIT_BYTES, MEMO_BYTES = 1 << 18, 1 << 24, 240 << 20
+#: What an entry of a memo takes beside its characters and ids; chunks that are tokenized in one call.
+_ENTRY, _LEARN = 120, 4096
 
 _held: dict = {}
 
 
-def chunk_encoder(tokenizer_json: str) -> Callable[[list[str]], list[np.ndarray]]:
-    """Encodes texts chunk by chunk. A space after a character that is not white space always begins a pre-token of
-    byte-level BPE, so the ids of a text are those of its chunks, cut there; each worker keeps the chunks it has met.
-    Texts without white space before a space are split plainly: a chunk's key is what follows its space, the first
-    chunk's has a space before it. In other texts chunks are their own keys, in a memo apart."""
+class Memo:
+    """Ids of chunks by key; keys of a `spaced` memo are chunks without their space, first chunks have one. Chunks that begin with a space and end without white space are
+    learned many at a time, as one text: a token of byte-level BPE stands for as many bytes as its name has characters,
+    so sums of bytes tell where in the ids a chunk ends. Past MEMO_BYTES all are forgotten."""
+
+    def __init__(self, tokenizer_json: str, spaced: bool):
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.spaced = Tokenizer.from_str(tokenizer_json), spaced
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for name, i in vocabulary.items():
+            self.bytes[i] = len(name)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.begin, self.count, self.ids = (np.zeros(1 << 12, k) for k in (np.int64, np.int32, np.uint32))
+        self.used, self.size = 0, 0
+
+    def slots(self, names: list[str]) -> tuple[np.ndarray, list[str]]:
+        """Each name's place among what is known (-1: unknown), and the unknown names."""
+        found = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        return found, [names[k] for k in np.flatnonzero(found < 0)]
+
+    def learn(self, names: list[str]) -> None:
+        inner = [(n[:1] != " ") == self.spaced and n != "" and not n[-1].isspace() for n in names]
+        for joined in (True, False):
+            own = list(compress(names, inner)) if joined else [n for n, j in zip(names, inner, strict=True) if not j]
+            for k in range(0, len(own), _LEARN):
+                some = own[k : k + _LEARN]
+                found = self._together(some) if joined else None
+                self._add(some, *(found or self._apart(some)))
+
+    def _together(self, names: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of the names' chunks, one after another, and each chunk's number of ids, if bytes tell them."""
+        text = " " + " ".join(names) if self.spaced else "".join(names)
+        size = np.fromiter(map(len, names) if text.isascii() else (len(n.encode()) for n in names), np.int64, len(names)) + self.spaced
+        found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ends, stops = np.cumsum(self.bytes[found]), np.cumsum(size)
+        last = np.searchsorted(ends, stops)
+        if last[-1] == len(ends) - 1 and (ends[last] == stops).all():
+            return found, np.diff(last, prepend=-1)
+        return None
+
+    def _apart(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [n[1:] if n[:1] == " " else " " + n for n in names] if self.spaced else names
+        each = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each], np.int64)
+
+    def _add(self, names: list[str], found: np.ndarray, count: np.ndarray) -> None:
+        n, stop = len(self.known), len(self.known) + len(names)
+        while len(self.count) < stop:
+            self.begin, self.count = (np.append(x, np.zeros_like(x)) for x in (self.begin, self.count))
+        while len(self.ids) < self.used + len(found):
+            self.ids = np.append(self.ids, np.zeros_like(self.ids))
+        self.begin[n:stop], self.count[n:stop] = self.used + np.cumsum(count) - count, count
+        self.ids[self.used : self.used + len(found)] = found
+        self.known.update(zip(names, range(n, stop), strict=True))
+        self.used += len(found)
+        self.size += sum(map(len, names)) + 4 * len(found) + _ENTRY * len(names)
+
+    def gathered(self, at: np.ndarray, names: list[str], told: tuple[np.ndarray, list[str]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the chunks names[at], one after another, and each chunk's number of ids."""
+        found, new = told or self.slots(names)
+        if new and self.size > MEMO_BYTES:
+            self.forget()
+            found, new = np.full(len(names), -1), names
+        if new:
+            self.learn(new)
+            found[found < 0] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        slot = found[at]
+        n = self.count[slot]
+        ends = np.cumsum(n, dtype=np.int64)
+        place = np.arange(ends[-1] if len(ends) else 0)
+        place += np.repeat(self.begin[slot] - ends + n, n)
+        return self.ids[place], n
+
+
+def _per_document(n: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    total = np.append(0, np.cumsum(n, dtype=np.int64))
+    return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def chunk_encoder(tokenizer_json: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """Encodes texts chunk by chunk: all their ids, and each text's number of ids. A space after a character that is
+    not white space always begins a pre-token of byte-level BPE, so the ids of a text are those of its chunks, cut
+    there; a batch's distinct chunks are looked up once, and each worker remembers chunks up to MEMO_BYTES. Texts
+    without white space before a space are split plainly: a chunk's key is what follows its space, the first chunk's
+    has a space before it. In other texts chunks are their own keys, in a memo apart."""
     key = hash(tokenizer_json)
     if key not in _held:
-        import os
-        import re
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        _held[key] = Memo(tokenizer_json, True), Memo(tokenizer_json, False)
+    plain, other = _held[key]
+    cut = re.compile(r"(?<=\S)(?= )")
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lists = pc.split_pattern(texts, " ")
+        offsets, coded = lists.offsets.to_numpy(), lists.flatten().dictionary_encode()
+        at, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        first = offsets[:-1]
+        begins, place = np.unique(at[first], return_inverse=True)
+        at[first] = len(names) + place
+        names += [" " + names[k] for k in begins]
+        told = plain.slots(names)
+        odd = {n for n in told[1] if n != " " and (not n or n[-1].isspace())}
+        if not odd:
+            ids, n = plain.gathered(at, names, told)
+            return ids, _per_document(n, offsets)
+        is_odd = np.fromiter((n in odd for n in names), bool, len(names))
+        # a chunk that only its being the first makes odd is of no other text
+        bad = _per_document(is_odd[at].astype(np.int64), offsets) > 0
+        if not bad.any():
+            used = np.unique(at)
+            ids, n = plain.gathered(np.searchsorted(used, at), [names[k] for k in used])
+            return ids, _per_document(n, offsets)
+        if not bad.all():
+            (a, x), (b, y) = encode(texts.filter(pa.array(~bad))), encode(texts.filter(pa.array(bad)))
+            counts = np.zeros(len(bad), np.int64)
+            counts[~bad], counts[bad] = x, y
+            ids, of = np.zeros(len(a) + len(b), np.uint32), np.repeat(bad, counts)
+            ids[~of], ids[of] = a, b
+            return ids, counts
+        parts = [cut.split(t) for t in texts.to_pylist()]
+        offsets = np.append(0, np.cumsum([len(p) for p in parts]))
+        coded = pa.array([x for p in parts for x in p], pa.string()).dictionary_encode()
+        ids, n = other.gathered(coded.indices.to_numpy(), coded.dictionary.to_pylist())
+        return ids, _per_document(n, offsets)
+
+    return encode
+
 
-        _held[key] = Tokenizer.from_str(tokenizer_json), {}, {}, re.compile(r"(?<=\S)(?= )")
-    tokenizer, plain, other, cut = _held[key]
-
-    def learn(memo: dict, names: list[str], chunks: list[str]) -> None:
-        if len(memo) > MEMO:
-            memo.clear()
-        for k in range(0, len(names), 4096):
-            found = tokenizer.encode_batch_fast(chunks[k : k + 4096], add_special_tokens=False)
-            memo.update(zip(names[k : k + 4096], [array("I", e.ids).tobytes() for e in found], strict=True))
-
-    def encode(text: str) -> np.ndarray:
-        parts = text.split(" ")
-        parts[0] = " " + parts[0]
-        met = list(map(plain.get, parts))
-        if None in met:
-            new = list({p for p, v in zip(parts, met, strict=True) if v is None})
-            if not any(p == "" or p[-1].isspace() for p in new if p != " "):
-                learn(plain, new, [p[1:] if p[:1] == " " else " " + p for p in new])
-                met = [plain[p] if v is None else v for p, v in zip(parts, met, strict=True)]
-            else:
-                parts = cut.split(text)
-                met = list(map(other.get, parts))
-                new = list({p for p, v in zip(parts, met, strict=True) if v is None})
-                learn(other, new, new)
-                met = [other[p] if v is None else v for p, v in zip(parts, met, strict=True)]
-        return np.frombuffer(b"".join(met), "<u4")
-
-    return lambda texts: [encode(t) for t in texts]
+def _slices(texts: pa.Array) -> Iterator[slice]:
+    """Runs of texts of about SPLIT_BYTES."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy())
+    low = 0
+    while low < len(ends):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + SPLIT_BYTES, side="right")))
+        yield slice(low, high)
+        low = high
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = 2) -> None:
@@ -81,24 +186,29 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int =
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, shard = chunk_encoder(told.value), TaskContext.get().partitionId()
         ids: list[np.ndarray] = []
-        names: list = []
-        counts: list[int] = []
-        end, held, first, segment = np.array([end_id], "<u4"), 0, 0, 0
+        names: list[pa.Array] = []
+        counts: list[np.ndarray] = []
+        held, first, segment = 0, 0, 0
 
         def flushed() -> pa.RecordBatch:
             words, offsets = simple8b.encode(np.concatenate(ids))
-            row = [[shard], [segment], [first], [names], [counts], [offsets.astype("<u4").tobytes()], [words.astype("<u8").tobytes()]]
+            row = [[shard], [segment], [first], [pa.concat_arrays(names).to_pylist()], [np.concatenate(counts)], [offsets.astype("<u4").tobytes()], [words.astype("<u8").tobytes()]]
             types = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, types, strict=True)], names=[x.split()[0] for x in FILE.split(", ")])
 
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                for name, one in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
-                    ids += [one, end]
-                    names.append(name)
-                    counts.append(len(one) + 1)
-                    held += len(one) + 1
+            for part in _slices(batch.column(1)):
+                n = part.stop - part.start
+                found, size = encode(batch.column(1).slice(part.start, n))
+                found, size = np.insert(found, np.cumsum(size), end_id), size + 1
+                ends, low = np.cumsum(size), 0
+                while low < n:
+                    before = ends[low - 1] if low else 0
+                    high = min(n, int(np.searchsorted(ends, before + SEGMENT_IDS - held)) + 1)
+                    ids.append(found[before : ends[high - 1]])
+                    names.append(batch.column(0).slice(part.start + low, high - low))
+                    counts.append(size[low:high])
+                    held, low = held + int(ends[high - 1] - before), high
                     if held >= SEGMENT_IDS:
                         yield flushed()
                         first, segment, held = first + held, segment + 1, 0

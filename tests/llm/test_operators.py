@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,8 +76,23 @@ def test_chunks_encode_as_whole_texts():
     encode, whole = token_output.chunk_encoder(tokenizer_json()), Tokenizer.from_str(tokenizer_json())
     odd = ["".join(R.choice("ab \n\t.'é1\x1c") for _ in range(R.randrange(14))) for _ in range(500)]
     texts = [t or "" for t in TEXTS] + odd
-    for t, ids in zip(texts, encode(texts), strict=True):
-        assert whole.encode(t, add_special_tokens=False).ids == ids.tolist(), repr(t)
+    for some in (texts, texts[7:], ["a", "b c"], [""], [" ", "x  y"], []):
+        ids, counts = encode(pa.array(some, pa.string()))
+        for t, own in zip(some, np.split(ids, np.cumsum(counts))[:-1], strict=True):
+            assert whole.encode(t, add_special_tokens=False).ids == own.tolist(), repr(t)
+
+
+def test_memo_forgets_and_stays_right(monkeypatch):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_str(tokenizer_json())
+    monkeypatch.setattr(token_output, "MEMO_BYTES", 3000)
+    memo = token_output.Memo(tokenizer_json(), False)
+    for k in range(40):
+        names = sorted({prose(1, j) for j in range(k, k + 30)}) + ["", " é", " a<|endoftext|>", " \U0001f600", " \n x", " z "][: k % 7]
+        ids, counts = memo.gathered(np.arange(len(names))[::-1], names)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts))[:-1]] == [whole.encode(n, add_special_tokens=False).ids for n in names[::-1]]
+        assert memo.size <= 3000 + 40 * 300 and set(memo.known) >= set(names)
 
 
 def test_token_file(spark, docs, empty):
