@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +29,34 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/loamline/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What runs inside leaves no shuffle files behind: they go when its last stage has ended, not when the driver
+    happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: lineage ends there, lost executors or not."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    with short_shuffles(spark):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that materialize() wrote and that nothing reads any more."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_at)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -210,8 +210,10 @@ def shingled(text, k):
     return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
 
 
-@pytest.mark.parametrize("k,percent", [(4, 85), (5, 80)])
-def test_ngram_join(spark, k, percent):
+@pytest.mark.parametrize("k,percent,bound", [(4, 85, None), (5, 80, None), (4, 85, 0), (4, 85, 8), (5, 80, 24)])
+def test_ngram_join(spark, monkeypatch, k, percent, bound):
+    if bound is not None:
+        monkeypatch.setattr(ngram_join, "boundary", lambda *_: bound)
     more = [(100 + i, edits(prose(random.Random(i).randrange(4, 60), i % 7), i % 4, i)) for i in range(150)]
     data = [(r[0], r[1]) for r in rows()] + more
     found = ngram_join.judge(spark.createDataFrame(data, "doc_id long, text string").repartition(4), ngram_join.Settings(k, percent)).collect()
@@ -404,16 +406,48 @@ def test_line_dedup(spark, empty):
     assert line_dedup.dedup(empty).count() == 0
 
 
-def test_boundary_and_parts_hold_links():
-    """Every linking pair of random sets meets in a list, small or large."""
+def rarity_of(sets):
+    """Exact: every hash is told by itself."""
+    value, count = np.unique(np.concatenate(sets), return_counts=True)
+    value, count = value[count > 1], count[count > 1]
+    bits = np.zeros(1 << 20, np.uint8)
+    bits[value >> np.uint64(44)] = 1
+    return ngram_join.Rarity(np.packbits(bits), value[count > 3], np.log2(count[count > 3]).astype(np.uint8), 0)
+
+
+def test_lists_and_sketches_hold_links():
+    """Every linking pair of random sets meets in a list, small or large, wherever the boundary is, and is close."""
     g = np.random.default_rng(5)
+    pool = np.unique(g.integers(0, 2**63, 400, dtype=np.uint64) * np.uint64(2))
     for percent in (80, 85):
-        bound = ngram_join.boundary(percent)
+        pairs = []
         for _ in range(300):
             n = int(g.integers(1, 90))
-            a = np.unique(g.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
+            a = np.unique(g.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)) if g.random() < 0.5 else np.unique(g.choice(pool, n))
             cut, new = int(g.integers(0, 2 + n // 6)), int(g.integers(0, 2 + n // 6))
-            b = np.unique(np.concatenate([g.permutation(a)[cut:], g.integers(0, 2**63, new, dtype=np.uint64)]))
-            common = len(np.intersect1d(a, b))
-            if len(b) and 100 * common >= percent * (len(a) + len(b) - common):
-                assert set(ngram_join.keys(a, percent, bound).tolist()) & set(ngram_join.keys(b, percent, bound).tolist()), (percent, len(a), len(b), common)
+            pairs.append((a, np.unique(np.concatenate([g.permutation(a)[cut:], g.integers(0, 2**63, new, dtype=np.uint64)]))))
+        rarity = rarity_of([s for p in pairs for s in p])
+        for bound in (0, 5, 9, 13):
+            for a, b in pairs:
+                common = len(np.intersect1d(a, b))
+                if len(b) and 100 * common >= percent * (len(a) + len(b) - common):
+                    assert set(ngram_join.keys(a, percent, bound, rarity).tolist()) & set(ngram_join.keys(b, percent, bound, rarity).tolist()), (percent, len(a), len(b), common)
+                    assert ngram_join.close([len(a), len(b)], [ngram_join.sketch(a), ngram_join.sketch(b)], percent).all()
+    long = np.unique(g.integers(0, 2**64, 3000, dtype=np.uint64))
+    sets = [long, long[40:], np.unique(g.integers(0, 2**64, 3100, dtype=np.uint64)), long[:1500]]
+    assert ngram_join.close([len(s) for s in sets], [ngram_join.sketch(s) for s in sets], 85).tolist() == [True, True, False, False]
+
+
+def test_rarities_are_counts(spark):
+    texts = [prose(random.Random(i).randrange(30, 80), i % 40) for i in range(120)]
+    sets = ngram_join.shingle_sets(texts, 4)
+    rarity, scan = ngram_join.rarities(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), 4, sum(map(len, sets)))
+    value, count = np.unique(np.concatenate(list({ngram_join.signature(s): s for s in sets}.values())), return_counts=True)
+    assert (rarity.of(value)[count > 1] > 0).all() and scan >= 2
+    alone = np.array([h for h in np.unique(np.concatenate(ngram_join.shingle_sets([prose(400, 10**6)], 4))) if h not in set(value.tolist())], np.uint64)
+    assert (rarity.of(np.sort(alone)) > 0).mean() < 0.2
+
+
+def test_boundary_by_cost():
+    few, many = {n: 1000 for n in range(1, 30)}, {n: 1000 for n in range(1, 30)}
+    assert ngram_join.boundary(85, few, 0.0) <= ngram_join.boundary(85, many, 200.0) and ngram_join.boundary(85, {}, 1.0) == 0
