@@ -4,12 +4,15 @@ A prefix-filtered set join. Each item is cut into windows of ten words (a shorte
 windows are ordered by rarity, that is by their number in all documents; for exact containment the prefix that a
 document must share with a window is its one rarest word. Documents' word positions join those anchor words; the
 anchor's place in its window bounds where the window may begin and end, and what fits is verified word by word, in
-the same pass, before a row is made. Texts never move: the windows go to them, in blocks of a checked size.
+the same pass, before a row is made. Texts don't move to be searched: the windows go to them, in blocks of a checked
+size. What is found (a row a document that is hit) is broadcast up to common.BROADCAST_ROWS rows; beyond that clean()
+shuffles the texts once, and judge() only keys and counts.
 
 Candidates come by Unicode lower case (which keeps words apart alike); the verification is by A-Z alone. DataFrame and
 SQL functions only. Defined cases: null texts and texts without words have no windows and no hits; a null item_id
-marks words but isn't listed; equal items under several ids all count; repeated rows are each judged; extra columns
-are ignored by judge() and kept by clean().
+marks words but isn't listed; equal items under several ids all count; repeated rows are each judged; an empty table
+of documents gives no rows, an empty benchmark no hits; a long text is one array of words; extra columns, whatever
+their names, are ignored by judge() and kept by clean().
 """
 
 from __future__ import annotations
@@ -88,15 +91,15 @@ def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     )
     # words under sorted intervals: each adds what lies beyond the ends so far
     hit = F.expr("aggregate(at, struct(0L as n, 0L as stop), (a, x) -> struct(a.n + greatest(0L, x.begin + x.n - greatest(a.stop, x.begin)) as n, greatest(a.stop, cast(x.begin + x.n as bigint)) as stop)).n")
-    merged = small(materialize(merged.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), hit.alias("n_hit"), "items"), "hits"))
+    merged = small(materialize(merged.select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"), hit.alias("n_hit"), "items"), "hits"))
     rows = columns(docs, "doc_id", "text").select("doc_id", F.xxhash64("text").alias("text_key"), F.coalesce(F.regexp_count("text", F.lit(RAW_WORD)), F.lit(0)).cast("long").alias("n_words"))
-    rows = rows.join(merged, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
+    rows = rows.join(merged, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return rows.select("doc_id", "text_key", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of docs without a hit."""
-    bad = judge(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    bad = judge(docs, benchmark, window).filter("contaminated").select("doc_id", "text_key").distinct()
     bad = small(materialize(bad, "contaminated"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left_anti")
+    return docs.join(bad, docs["`doc_id`"].eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs["`text`"]) == bad["text_key"]), "left_anti")

@@ -7,10 +7,12 @@ from the start for repeats; a document's draw begins at a cumulative demand, and
 schedule has demanded that much, the inverse of the integrated schedule, is the draw's training position.
 
 Cumulative sizes inside a source are prefix sums over hashed blocks of about BLOCK_ROWS rows, so a hot source is
-spread over many tasks. Sizes are counted in one pass over the texts and kept as a narrow table.
+spread over many tasks, and the blocks' sums go by runs of RUN blocks. Sizes are counted in one pass over the texts and kept as a narrow table.
 
 Defined cases: null or empty texts have size 0 and are never drawn; the null source is a source; repeated rows count
-each on its own; an empty table gives no rows; extra columns are ignored by plan() and kept by draw().
+each on its own; ties in the hashed order fall to doc_id and text; an empty table gives no rows; long texts are only
+counted; extra columns, whatever their names, are ignored by plan() and kept by draw(). Sources are few: a row each
+comes to the driver, as their weights are the caller's list.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from loamline.llm.common import columns, materialize
 
-BLOCK_ROWS = 2_000
+BLOCK_ROWS, RUN = 2_000, 1_000
 WORD = r"[^\x20\x09-\x0D]+"
 Schedule = tuple[tuple[float, float], ...]
 
@@ -104,9 +106,13 @@ def plan(docs: DataFrame, curriculum: Curriculum = Curriculum(), whole: bool = F
     known = F.broadcast(_sources(sizes, curriculum).withColumnRenamed("source", "known"))  # one short row a source
     d = sizes.join(known, F.col("source").eqNullSafe(F.col("known"))).drop("known")
     d = d.withColumn("block", F.floor((F.shiftrightunsigned("order_key", 11).cast("double") / float(1 << 53)) * F.col("blocks")))
-    blocks = d.groupBy("source", "block").agg(F.sum("size").alias("block_size"))
-    ahead = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(F.col("source").alias("s"), F.col("block").alias("k"), F.coalesce(F.sum("block_size").over(ahead), F.lit(0)).alias("base"))
+    blocks = d.groupBy("source", "block").agg(F.sum("size").alias("block_size")).withColumn("run", F.floor(F.col("block") / RUN))
+    # sums in two steps, so that no window holds all blocks of a source
+    runs = blocks.groupBy("source", "run").agg(F.sum("block_size").alias("run_size"))
+    before = lambda size, within, by: F.coalesce(F.sum(size).over(Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.select(F.col("source").alias("s"), F.col("run").alias("r"), before("run_size", ["source"], "run").alias("run_base"))
+    blocks = blocks.join(runs, F.col("source").eqNullSafe(F.col("s")) & (F.col("run") == F.col("r"))).drop("s", "r")
+    blocks = blocks.select(F.col("source").alias("s"), F.col("block").alias("k"), (F.col("run_base") + before("block_size", ["source", "run"], "block")).alias("base"))
     inside = Window.partitionBy("source", "block").orderBy("order_key", "doc_id", "text_key").rowsBetween(Window.unboundedPreceding, -1)
     d = d.join(blocks, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("k"))).drop("s", "k")
     d = d.withColumn("begin", F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -136,23 +142,25 @@ def in_order(planned: DataFrame) -> DataFrame:
 
 def draw(docs: DataFrame, curriculum: Curriculum = Curriculum()) -> DataFrame:
     """The rows of docs in training order, whole and as often as they are drawn."""
-    planned = plan(docs, curriculum, whole=True).groupBy(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("text_key").alias("_t"))
+    planned = plan(docs, curriculum, whole=True).groupBy(F.col("doc_id").alias("pd"), F.col("source").alias("ps"), F.col("text_key").alias("pt"))
     # rows of one document draw at different places: one list of draws a row, those without draws last
     lists = F.array_sort(F.collect_list(F.when(F.size("draws") > 0, F.col("draws"))))
-    planned = materialize(planned.agg(lists.alias("_draws"), F.count("*").alias("_rows")).filter(F.size("_draws") > 0), "draws")
+    planned = materialize(planned.agg(lists.alias("lists"), F.count("*").alias("of")).filter(F.size("lists") > 0), "draws")
     every = docs.columns
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_key") == F.col("_t"))
-    if_one = keyed.join(planned.filter("_rows = 1"), same).select(*every, F.explode(F.flatten("_draws")).alias("_draw"))
+    named = {n: docs[f"`{n}`"] if n in every else F.lit(None) for n in ("doc_id", "source", "text")}
+    row = F.struct(*[docs[f"`{c}`"] for c in every]).alias("row")
+    keyed = docs.select(row, named["doc_id"].alias("d"), named["source"].alias("s"), F.xxhash64(named["text"]).alias("t"))
+    same = F.col("d").eqNullSafe(F.col("pd")) & F.col("s").eqNullSafe(F.col("ps")) & (F.col("t") == F.col("pt"))
+    if_one = keyed.join(planned.filter("of = 1"), same).select("row", "d", F.explode(F.flatten("lists")).alias("draw"))
     # of several rows, those equal in all columns are one with a number; they take the lists in the order of the other columns
-    several = planned.filter("_rows > 1")
-    other = [c for c in every if c not in ("doc_id", "source", "text")]
+    several = planned.filter("of > 1")
+    other = [F.col("row").getField(c) for c in every if c not in named]
     tag = F.to_json(F.struct(*other), {"ignoreNullFields": "false"}) if other else F.lit("")
-    rows = keyed.join(several.drop("_draws"), same).withColumn("_tag", tag).groupBy("_d", "_s", "_t", "_tag").agg(F.first(F.struct(*every)).alias("_row"), F.count("*").alias("_n"))
-    rows = rows.withColumn("_end", F.sum("_n").over(Window.partitionBy("_d", "_s", "_t").orderBy("_tag")))
+    rows = keyed.join(several.drop("lists"), same).withColumn("tag", tag).groupBy("pd", "ps", "pt", "tag").agg(F.first("row").alias("row"), F.first("d").alias("d"), F.count("*").alias("n"))
+    rows = rows.withColumn("stop", F.sum("n").over(Window.partitionBy("pd", "ps", "pt").orderBy("tag")))
     a, b = rows.alias("a"), several.alias("b")
-    met = a.join(b, F.col("a._d").eqNullSafe(F.col("b._d")) & F.col("a._s").eqNullSafe(F.col("b._s")) & (F.col("a._t") == F.col("b._t")))
-    own = F.flatten(F.slice("_draws", (F.col("_end") - F.col("_n") + 1).cast("int"), F.col("_n").cast("int")))
-    more = met.select("_row.*", F.explode(own).alias("_draw"))
-    order = [F.col("_draw.position"), F.col("doc_id"), F.col("_draw.repeat")]
-    return if_one.unionByName(more).repartitionByRange(*order).sortWithinPartitions(*order).select(*every)
+    met = a.join(b, F.col("a.pd").eqNullSafe(F.col("b.pd")) & F.col("a.ps").eqNullSafe(F.col("b.ps")) & (F.col("a.pt") == F.col("b.pt")))
+    own = F.flatten(F.slice("lists", (F.col("stop") - F.col("n") + 1).cast("int"), F.col("n").cast("int")))
+    more = met.select("row", "d", F.explode(own).alias("draw"))
+    order = [F.col("draw.position"), F.col("d"), F.col("draw.repeat")]
+    return if_one.unionByName(more).repartitionByRange(*order).sortWithinPartitions(*order).select("row.*")

@@ -4,8 +4,9 @@ A linear model over the presence of words and word beginnings is trained with nu
 (positive) and texts of unknown label. The risk of the negative class is estimated from the unlabelled texts less the
 share of it that the class prior says are positive, held at zero from below (Kiryo et al., 2017): where the estimate is
 negative, a step goes up it instead. The prior is the toxic share of the labelled rows, so labels have to be a random
-draw: where toxic texts are labelled more often than others, too much is called toxic. The fit takes at
-most `positives` and about `unlabelled` texts of up to `longest` characters, chosen by a hash; the class prior comes from all labelled rows.
+draw: where toxic texts are labelled more often than others, too much is called toxic. The fit takes about
+`positives` and `unlabelled` texts of up to `longest` characters, and about `characters` characters of either kind,
+chosen by a hash of id and text, so that reruns agree; the class prior comes from all labelled rows.
 Every document is scored over its whole text, where it lies, without a shuffle.
 
 Defined cases: null or empty texts score as a text without known words; without positives every score is 0; repeated
@@ -37,6 +38,7 @@ class Settings:
     positives: int = 3_000
     unlabelled: int = 9_000
     longest: int = 200_000
+    characters: int = 60_000_000
     features: int = 4_000
     least_texts: int = 5
     rounds: int = 400
@@ -58,6 +60,15 @@ def features(text: str | None) -> set[str]:
     return words | {f"{w[:k]}~" for w in words for k in STARTS if len(w) > k}
 
 
+def slopes(scores: np.ndarray, n: int, prior: float) -> np.ndarray:
+    """The slope of the risk by each score; the first n texts are positive, the others unlabelled."""
+    s = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
+    m, loss = len(scores) - n, np.logaddexp(0, scores)
+    if loss[n:].mean() - prior * loss[:n].mean() >= 0:
+        return np.append(-prior * np.ones(n) / n, s[n:] / m)
+    return np.append(prior * s[:n] / n, -s[n:] / m)  # the estimate of a risk is below zero: step back from what overfits
+
+
 def fit(positive: list[str], unlabelled: list[str], prior: float, settings: Settings = Settings()) -> Model:
     """nnPU with the logistic loss by full-batch Adam steps; features are those most frequent among positives
     relative to the unlabelled texts (and some the other way)."""
@@ -82,16 +93,7 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, settings: Sett
     m1, m2 = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
     for step in range(1, settings.rounds + 1):
         g = b + np.bincount(rows_, weights=w[cols_], minlength=n + m)
-        s = 1 / (1 + np.exp(-np.clip(g, -30, 30)))
-        loss_neg = np.logaddexp(0, g)
-        negative = loss_neg[n:].mean() - prior * loss_neg[:n].mean()
-        each = np.zeros(n + m)
-        if negative >= 0:
-            each[:n] = prior * ((s[:n] - 1) - s[:n]) / n
-            each[n:] = s[n:] / m
-        else:  # the estimate of a risk is below zero: step back from what overfits
-            each[:n] = prior * s[:n] / n
-            each[n:] = -s[n:] / m
+        each = slopes(g, n, prior)
         grad = np.append(np.bincount(cols_, weights=each[rows_], minlength=len(known)) + settings.decay * w, each.sum())
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.999 * m2 + 0.001 * grad**2
         move = settings.rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
@@ -103,16 +105,16 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sett
     """Fits on docs' texts with labels' `toxic` by doc_id; `usable` (over doc_id) says which rows may be learned from."""
     usable = F.lit(True) if usable is None else usable
     known = columns(labels, "doc_id", "toxic").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("doc_id is not null")
-    text = columns(docs, "doc_id", "text").filter(usable).filter(F.length("text") <= settings.longest)
-    order = F.xxhash64(F.lit(settings.seed), "text", "doc_id")
+    text = columns(docs, "doc_id", "text").filter(usable).filter(F.length("text").between(1, settings.longest))
+    order = lambda *c: F.pmod(F.xxhash64(F.lit(settings.seed), *c), F.lit(1 << 30)) / float(1 << 30)
     share = known.filter(usable).agg(F.avg(F.when(F.col("toxic").isNotNull(), (F.col("toxic") == 1).cast("double"))).alias("p")).first().p
-    toxic = F.broadcast(known.filter("toxic = 1").orderBy(F.xxhash64(F.lit(settings.seed), "doc_id")).limit(settings.positives).select("doc_id"))
-    positive = text.join(toxic, "doc_id", "left_semi").limit(2 * settings.positives)
+    toxic = known.filter("toxic = 1").orderBy(order("doc_id"), "doc_id").limit(settings.positives).select("doc_id")
     # the rest is unlabelled text, told toxic or not: the risk estimator takes it as a mixture by the prior
-    total = text.count()
-    share_taken = min(1.0, 1.2 * settings.unlabelled / max(total, 1))
-    rest = text.filter((F.pmod(order, F.lit(1 << 20)) < int(share_taken * (1 << 20)) + 1) & F.col("text").isNotNull()).limit(2 * settings.unlabelled)
-    chosen = [sorted({r.text for r in part.select("text").collect() if r.text}) for part in (positive, rest)]
+    chosen = []
+    for part, most, key in ((text.join(F.broadcast(toxic), "doc_id", "left_semi"), settings.positives, "text"), (text, settings.unlabelled, "text")):
+        size = part.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).first()
+        taken = min(1.0, 1.2 * most / max(size.n, 1), settings.characters / max(size.chars or 0, 1))
+        chosen.append(sorted({r.text for r in part.filter(order(key, "doc_id") < taken).select("text").collect()}))
     return fit(chosen[0], chosen[1], float(share or 0.0), settings)
 
 

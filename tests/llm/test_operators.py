@@ -320,13 +320,13 @@ def test_url_patterns_in_every_part(spark, bad, good):
 
 
 def test_toxicity(spark, empty):
-    r = random.Random(2)
+    r, draw = random.Random(2), random.Random(3)
     data, labels = [], []
     for i in range(1200):
         bad = i % 6 == 0
         t = prose(r.randrange(5, 80), i) + (" foulword" if bad else "") + (" grumm" + r.choice("abcdef") + "x" if bad and i % 4 == 0 else "")
         data.append((i, t))
-        if i % 2 == 0:
+        if draw.random() < 0.5:  # whatever the text: the prior is the toxic share of what is labelled
             labels.append((i, int(bad), 1))
     docs = spark.createDataFrame([*data, (5000, None), (5001, ""), (None, "x foulword")], "doc_id long, text string").withColumn("score", F.lit(9))
     told = spark.createDataFrame([*labels, (3, None, 1)], "doc_id long, toxic int, quality int")
@@ -363,6 +363,24 @@ def test_toxicity_of_random_labels(spark):
     assert len(held & said & toxic) >= 0.7 * len(held & toxic) and len(held & (said ^ toxic)) <= 0.1 * len(held)
 
 
+def test_risk_gradients():
+    """Each step's direction is that of the estimated risk: up the negative part where that is below zero (Kiryo et al.)."""
+    g = np.random.default_rng(2)
+    n, m, prior = 30, 70, 0.3
+
+    def risk(f, clipped):
+        pos, neg = np.logaddexp(0, -f[:n]).mean(), np.logaddexp(0, f[n:]).mean() - prior * np.logaddexp(0, f[:n]).mean()
+        return (prior * pos + neg if neg >= 0 else -neg) if clipped else prior * pos + max(neg, 0)
+
+    for shift in (-6, 0, 6):
+        f = g.normal(0, 1, n + m) + np.where(np.arange(n + m) < n, shift, -shift)
+        slope = toxicity.slopes(f, n, prior)
+        for k in (0, n - 1, n, n + m - 1):
+            e = np.zeros(n + m)
+            e[k] = 1e-6
+            assert slope[k] == pytest.approx((risk(f + e, True) - risk(f - e, True)) / 2e-6, abs=1e-6)
+
+
 def test_language_id(spark):
     texts = {"en": "the house and the garden of the town with a river", "de": "das Haus und der Garten der Stadt mit einem Fluss", "fr": "la maison et le jardin de la ville avec une rivière"}
     r = random.Random(3)
