@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +64,26 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def trimmed(of: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """of, a function over a task's batches, whose worker hands freed memory back when the task has ended."""
+
+    def run(batches: Iterator) -> Iterator:
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        yield from of(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return run
+
+
 def columns(df: DataFrame, *names: str) -> DataFrame:
     """The named columns of df by exact name, whatever else df has; absent ones are null."""
     have = set(df.columns)

@@ -39,9 +39,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.common import BROADCAST_ROWS, columns, discard, materialize, small
+from loamline.llm.common import BROADCAST_ROWS, columns, discard, materialize, small, trimmed
 
-BLOCK, BATCH_BYTES = 512, 1 << 22
+BLOCK, BATCH_BYTES = 512, 1 << 20
 #: Bits of the map of recurring shingles at most, shingles a bucket of the count, hashes that a task holds at once, and
 #: shingles at most whose frequency is told (the others only recur).
 MOST_BITS, BUCKET, HELD, HOT = 1 << 28, 1 << 20, 1 << 21, 1 << 17
@@ -87,21 +87,38 @@ def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     return out
 
 
-def _sets(parts: list[bytes], k: int) -> list[np.ndarray]:
-    data = _LOWER[np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)]
-    ends_of = np.cumsum([len(p) + 1 for p in parts])
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words of data (bytes that end with a space), and their places."""
     space = _SPACE[data]
     edge = np.flatnonzero(np.diff(space, prepend=True))
-    starts, ends = edge[0::2], edge[1::2]  # of words: the data end with a space
+    starts, ends = edge[0::2], edge[1::2]
     if len(ends) < len(starts):
         ends = np.append(ends, len(data))
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    # words are short: powers of their own places, from each word's start
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(len(data), _ROOT), out=prefix[1:])
+    return _mixed((prefix[ends] - prefix[starts]) * _powers(len(data), _BACK)[starts]), starts
+
+
+def _pieces(data: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where to cut data, after a space, so that hashing takes some fifty bytes a byte of a piece, not of a long text."""
+    low = 0
+    while low < len(data):
+        high = min(low + 2 * BATCH_BYTES, len(data))
+        while high < len(data) and not (space := _SPACE[data[low:high]]).any():
+            high = min(2 * high - low, len(data))
+        if high < len(data):
+            high = low + int(np.flatnonzero(space)[-1]) + 1
+        yield low, high
+        low = high
+
+
+def _sets(parts: list[bytes], k: int) -> list[np.ndarray]:
+    data = _LOWER[np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)]
+    ends_of = np.cumsum([len(p) + 1 for p in parts])
     with np.errstate(over="ignore"):
-        prefix = np.zeros(len(data) + 1, np.uint64)
-        # words are short: powers of their own places, from each word's start
-        power = _powers(len(data), _ROOT)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power, out=prefix[1:])
-        back = _powers(len(data), _BACK)
-        word = _mixed((prefix[ends] - prefix[starts]) * back[starts])
+        found = [(low, *_words(data[low:high])) for low, high in _pieces(data)]
+        word, starts = np.concatenate([w for _, w, _ in found]), np.concatenate([low + at for low, _, at in found])
         of = np.searchsorted(ends_of, starts, side="right")
         count = np.bincount(of, minlength=len(parts))
         first = np.cumsum(count) - count
@@ -316,8 +333,8 @@ def rarities(texts: DataFrame, k: int, shingles: int) -> tuple[Rarity, float]:
             types = [pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)], names=["bucket", "value", "power", "by_power", "met"])
 
-    dealt = texts.mapInArrow(counted, "bucket int, hashes binary").repartition("bucket").sortWithinPartitions("bucket")
-    again = materialize(dealt.mapInArrow(recurring, "bucket int, value binary, power binary, by_power array<long>, met long"), "recurring")
+    dealt = texts.mapInArrow(trimmed(counted), "bucket int, hashes binary").repartition("bucket").sortWithinPartitions("bucket")
+    again = materialize(dealt.mapInArrow(trimmed(recurring), "bucket int, value binary, power binary, by_power array<long>, met long"), "recurring")
     told = again.select(F.posexplode("by_power").alias("power", "n")).groupBy("power").agg(F.sum("n").alias("n")).collect()  # 64 rows
     by_power = np.zeros(64, np.int64)
     for r in told:
@@ -339,7 +356,7 @@ def rarities(texts: DataFrame, k: int, shingles: int) -> tuple[Rarity, float]:
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["bucket", "bits", "hot", "power"])
 
     # MOST_BITS bits and HOT hashes at most, whatever the data
-    chunks = again.select("bucket", "value", "power").mapInArrow(mapped, "bucket int, bits binary, hot binary, power binary").collect()
+    chunks = again.select("bucket", "value", "power").mapInArrow(trimmed(mapped), "bucket int, bits binary, hot binary, power binary").collect()
     bits = np.zeros((1 << wide, 1 << width - wide - 3), np.uint8)
     for c in chunks:
         bits[c.bucket] = np.frombuffer(c.bits, np.uint8)
@@ -375,7 +392,7 @@ def judge(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             )
 
     node = F.xxhash64("s1", "s2", "n").alias("node")  # a class, of whatever ids
-    listing = materialize(rows.mapInArrow(listed, f"doc_id {kind}, text_key long, s1 long, s2 long, n long, sketch binary").select("doc_id", "text_key", "n", node, "sketch"), "listing")
+    listing = materialize(rows.mapInArrow(trimmed(listed), f"doc_id {kind}, text_key long, s1 long, s2 long, n long, sketch binary").select("doc_id", "text_key", "n", node, "sketch"), "listing")
     of = listing.filter("n > 0 and doc_id is not null").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = materialize(of.select("node", "first.*", "n", "sketch"), "classes")
     texts = rows.filter("doc_id is not null").select("text")
@@ -399,7 +416,7 @@ def judge(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 out = [np.concatenate(found).view(np.int64), *(np.repeat(x, times) for x in (s1, s2, n))]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["key", "s1", "s2", "n"])
 
-    lists = materialize(texts.mapInArrow(standing, "key long, s1 long, s2 long, n long").select("key", node), "lists")
+    lists = materialize(texts.mapInArrow(trimmed(standing), "key long, s1 long, s2 long, n long").select("key", node), "lists")
     heads = lists.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head < last").select("key", "head")
     members = materialize(lists.join(heads, "key").select("head", "node").distinct(), "members")
     discard(lists)
@@ -421,7 +438,7 @@ def judge(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     def _batch(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.int64()), strict=True)], names=["head", "x", "y", "node"])
 
-    groups = materialize(spread.mapInArrow(near, "head long, x int, y int, node long"), "groups")
+    groups = materialize(spread.mapInArrow(trimmed(near), "head long, x int, y int, node long"), "groups")
     discard(members)
     # a class's groups go to its first document, so that its set is made once and moves once a group
     wanted = groups.select("node", F.xxhash64("head", "x", "y").alias("g"), "head", "x", "y").groupBy("node").agg(F.collect_list(F.struct("g", "head", "x", "y")).alias("groups"))
@@ -438,7 +455,7 @@ def judge(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     each = "array<struct<g:long,head:long,x:int,y:int>>"
     named = few.select(F.col("doc_id").alias("first"), F.col("text_key").alias("own"), F.col("node").alias("wanted"), "groups")
     met = rows.join(named, (F.col("doc_id") == F.col("first")) & (F.col("text_key") == F.col("own"))).select("doc_id", "text", "wanted", "groups")
-    sets = met.mapInArrow(shingled, f"wanted long, groups {each}, set binary")
+    sets = met.mapInArrow(trimmed(shingled), f"wanted long, groups {each}, set binary")
     placed = sets.select(F.col("wanted").alias("node"), "set", F.explode("groups").alias("q"))
     placed = placed.select("q.g", "q.head", "q.x", "q.y", "node", "set")
     placed = placed.repartition("g").sortWithinPartitions("g", "head", "x", "y", "node")
@@ -466,7 +483,7 @@ def judge(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    edges = materialize(placed.mapInArrow(compared, "a long, b long"), "links")
+    edges = materialize(placed.mapInArrow(trimmed(compared), "a long, b long"), "links")
     discard(wanted, groups)
     found = components(edges)
     discard(edges)

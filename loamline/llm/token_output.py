@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamline.llm import simple8b
-from loamline.llm.common import columns
+from loamline.llm.common import columns, trimmed
 
 FILE = "shard int, segment long, first long, doc_ids array<long>, counts array<long>, offsets binary, words binary"
 DIGEST = "doc_id long, shard int, at long, n_tokens long, ids_crc32 long"
 #: Ids after which a segment ends, bytes of text that are split at once, and bytes of chunks that a worker remembers.
-SEGMENT_IDS, SPLIT_BYTES, MEMO_BYTES = 1 << 18, 1 << 24, 240 << 20
+SEGMENT_IDS, SPLIT_BYTES, MEMO_BYTES = 1 << 18, 12 << 20, 160 << 20
 #: What an entry of a memo takes beside its characters and ids; chunks that are tokenized in one call.
 _ENTRY, _LEARN = 120, 4096
 
@@ -217,7 +217,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int =
             yield flushed()
 
     rows = columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(segments, FILE).write.parquet(path)
+    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(trimmed(segments), FILE).write.parquet(path)
 
 
 def read_tokens(spark, path: str) -> DataFrame:
@@ -255,4 +255,4 @@ def _decoded(spark, path: str, schema: str, of) -> DataFrame:
                     out += [pa.array(counts), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in each], pa.int64())]
                 yield pa.RecordBatch.from_arrays(out, names=names)
 
-    return spark.read.parquet(path).mapInArrow(rows, schema)
+    return spark.read.parquet(path).mapInArrow(trimmed(rows), schema)

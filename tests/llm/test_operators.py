@@ -456,6 +456,13 @@ def test_lists_and_sketches_hold_links():
     assert ngram_join.close([len(s) for s in sets], [ngram_join.sketch(s) for s in sets], 85).tolist() == [True, True, False, False]
 
 
+def test_long_texts_are_shingled_in_pieces(monkeypatch):
+    texts = [prose(700, 1), "", prose(30, 2), "x" * 3000 + " " + prose(50, 3), " \n" * 400 + "end", None, "y" * 5000]
+    whole = ngram_join.shingle_sets(texts, 4)
+    monkeypatch.setattr(ngram_join, "BATCH_BYTES", 100)
+    assert all((a == b).all() and len(a) == len(shingled(t, 4)) for a, b, t in zip(whole, ngram_join.shingle_sets(texts, 4), texts, strict=True))
+
+
 def test_rarities_are_counts(spark):
     texts = [prose(random.Random(i).randrange(30, 80), i % 40) for i in range(120)]
     sets = ngram_join.shingle_sets(texts, 4)
