@@ -46,7 +46,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: lineage ends there, lost executors or not."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     with short_shuffles(spark):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_at = path
     return out

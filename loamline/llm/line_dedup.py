@@ -1,14 +1,19 @@
 """Line dedup: an exact set-similarity join of lines, and the text without later matches.
 
 A line's set is its distinct words, lower-cased; lines of one set are a class. Words are ordered by rarity, counted
-over classes in 2^16 hashed buckets (any fixed order is exact; this one puts frequent words last). Classes meet on the
-words of their prefix, in one of two neighbouring ranges of size; size and the words' places bound the overlap, and
-the Jaccard similarity of what is left is verified on the words. A line goes if an earlier line, by doc_id and line
-number, is of its class or links to it. DataFrame and SQL functions only.
+over classes in 2^16 hashed buckets, on a logarithmic scale (any fixed order is exact; this one puts frequent words
+last). Classes meet on the words of their prefix; size, the words' places and a parity sketch of 64 bits (no more bits
+differ than words do) bound the overlap, and the Jaccard similarity of what is left is verified on the words. A line
+goes if an earlier line, by doc_id and line number, is of its class or links to it.
+
+Only that an earlier line links matters, not how many do. So classes are first held against the earliest of each list
+that they stand in, a row an entry, which settles nearly all of a group of near copies; those that are left are then
+joined with all of their lists. The join is a plain one, which adaptive execution splits where a word is hot. DataFrame
+and SQL functions only.
 
 Defined cases: null texts stay null and have no lines; lines without words always stay; repeated rows count as one
-document, of which each gets the same result; a null doc_id comes first; an empty table gives no rows; extra columns
-are kept.
+document, of which each gets the same result; a null doc_id comes first; an empty table gives no rows; a long text is
+one array of lines; extra columns, whatever their names, are kept but for text, n_lines and n_removed.
 """
 
 from __future__ import annotations
@@ -18,13 +23,13 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.common import materialize, small
+from loamline.llm.common import columns, discard, materialize, small
 
 PERCENT, BUCKETS = 80, 1 << 16
 
 
 def line_words(line: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.filter(F.split(F.lower(line), r"[\s\p{Z}]+"), lambda w: w != "")))
+    return F.sort_array(F.array_remove(F.array_distinct(F.split(F.lower(line), r"[\s\p{Z}]+")), ""))
 
 
 def needed(n: Column, percent: int) -> Column:
@@ -33,9 +38,10 @@ def needed(n: Column, percent: int) -> Column:
 
 def lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, line (from 0), words, class of each line with words; each distinct document once."""
-    d = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n", -1)).alias("line", "body"))
+    d = columns(docs, "doc_id", "text")
+    d = d.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n", -1)).alias("line", "body"))
     # one string: an array of short strings takes three times the room in a shuffle
-    d = d.withColumn("words", F.array_join(line_words(F.col("body")), " ")).filter("words != ''")
+    d = d.select("doc_id", "text_key", "line", F.array_join(line_words(F.col("body")), " ").alias("words")).filter("words != ''")
     return d.select("doc_id", "text_key", "line", "words", F.xxhash64("words").alias("class"))
 
 
@@ -45,61 +51,95 @@ def classes(found: DataFrame) -> DataFrame:
 
 
 def rarity(each: DataFrame) -> Column:
-    """A literal array: the number of classes with a word of each hashed bucket (BUCKETS numbers, whatever the data)."""
-    counts = each.select(F.explode(F.split("words", " ")).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
+    """A literal array: the logarithm of the number of classes with a word of each hashed bucket (BUCKETS numbers,
+    whatever the data)."""
+    counts = each.select(F.explode(F.split("words", " ")).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.round(F.log2(F.count("*")) * 512).cast("int").alias("n"))
     table = [0] * BUCKETS
     for r in counts.collect():
-        table[r.b] = min(r.n, (1 << 15) - 1)
+        table[r.b] = r.n
     return F.from_json(F.lit(json.dumps(table)), "array<int>")
 
 
-def linked(each: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """a, b: classes whose Jaccard similarity is at least percent, in either order."""
+def prefixes(each: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """class, doc_id, line, n, sketch, prefix: the codes of its rarest words. A code is a word's rank and hash; words of
+    one code only add candidates."""
     rank = rarity(each)
-    each = each.withColumn("w", F.split("words", " "))
-    code = F.transform("w", lambda w: F.shiftleft(F.get(rank, F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")).cast("long"), 48).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.lit(1), w), 16)))
-    n = F.size("w")
-    ordered = each.select("class", n.alias("n"), F.slice(F.sort_array(code), 1, n - needed(n, percent) + 1).alias("prefix"))
-    z = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-    lists = ordered.select("class", "n", z.alias("z"), F.posexplode("prefix").alias("at", "word")).select("class", "n", "at", "word", F.explode(F.array(F.col("z"), F.col("z") + 1)).alias("z"))
-    counts = lists.groupBy("word", "z").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
-    lists = materialize(lists.join(counts, ["word", "z"]), "lists")
-    a, b = lists.alias("a"), lists.alias("b")
-    total = F.col("a.n") + F.col("b.n")
-    least = F.ceil(total * percent / (100 + percent))
-    met = (
-        a.join(b, (F.col("a.word") == F.col("b.word")) & (F.col("a.z") == F.col("b.z")))
-        .filter((F.col("a.class") < F.col("b.class")) & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent))
-        .filter(1 + F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) - 1 >= least)
-        .select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
+    coded = lambda h: F.shiftleft(F.get(rank, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), 48).bitwiseOR(F.shiftrightunsigned(h, 16))
+    each = each.select("class", "first", F.transform(F.split("words", " "), lambda w: F.xxhash64(w)).alias("hashes"))
+    parity = F.aggregate("hashes", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))))
+    n = F.size("hashes")
+    return each.select(
+        "class", F.col("first.doc_id").alias("doc_id"), F.col("first.line").alias("line"), n.alias("n"), parity.alias("sketch"),
+        F.slice(F.sort_array(F.transform("hashes", coded)), 1, n - needed(n, percent) + 1).alias("prefix"),
     )
-    words = each.select("class", "words")
-    pairs = met.join(words.select(F.col("class").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("class").alias("b"), F.col("words").alias("wb")), "b")
+
+
+def fits(a: str, b: str, percent: int) -> Column:
+    """Whether two entries (columns n, at, sketch by these prefixes) of one list may be of classes that link."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    least = F.ceil((n + m) * percent / (100 + percent))
+    sized = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    placed = F.least(n - F.col(f"{a}at"), m - F.col(f"{b}at")) >= least
+    alike = F.bit_count(F.col(f"{a}sketch").bitwiseXOR(F.col(f"{b}sketch"))) <= n + m - 2 * least
+    return sized & placed & alike
+
+
+def verified(pairs: DataFrame, each: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose Jaccard similarity is at least percent and of which a comes first."""
+    of = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    words = each.join(small(materialize(of, "involved")), "class", "left_semi")
+    side = lambda x: words.select(F.col("class").alias(x), F.col("words").alias(f"w{x}"), F.col("first").alias(f"f{x}"))
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
     wa, wb = F.split("wa", " "), F.split("wb", " ")
     common = F.size(F.array_intersect(wa, wb))
-    return pairs.filter(common * 100 >= (F.size(wa) + F.size(wb) - common) * percent).select("a", "b")
+    return met.filter((F.col("fa") < F.col("fb")) & (common * 100 >= (F.size(wa) + F.size(wb) - common) * percent)).select("a", "b")
 
 
-def removed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, text_key, gone (sorted numbers of the lines that an earlier line matches), for documents that lose some."""
-    found = lines(docs)
-    each = materialize(classes(found), "classes")
-    pairs = materialize(linked(each, percent), "line_links")
-    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    earliest = both.join(each.select(F.col("class").alias("b"), "first"), "b").groupBy(F.col("a").alias("class")).agg(F.min("first").alias("other"))
-    stays = each.select("class", "first").join(earliest, "class", "left").filter("other is null or first < other").select("first.*")
+def linked(each: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """class: those that an earlier class links to."""
+    told = materialize(prefixes(each, percent), "prefixes")
+    entries = told.select("class", "doc_id", "line", "n", "sketch", F.posexplode("prefix").alias("at", "word"))
+    heads = entries.groupBy("word").agg(F.min(F.struct("doc_id", "line", "class", "n", "at", "sketch")).alias("head"), F.max("class").alias("last"), F.min("class").alias("least"))
+    heads = heads.filter("least < last").select("word", F.col("head.class").alias("a"), F.col("head.n").alias("an"), F.col("head.at").alias("aat"), F.col("head.sketch").alias("asketch"))
+    near = entries.join(heads, "word").filter((F.col("class") != F.col("a")) & fits("", "a", percent)).select("a", F.col("class").alias("b")).distinct()
+    near = materialize(near, "head_pairs")
+    settled = materialize(verified(near, each, percent).select(F.col("b").alias("class")).distinct(), "settled")
+    discard(near)
+    done = settled.select("class", F.lit(True).alias("done"))
+    order = F.struct("doc_id", "line").alias("order")
+    flagged = told.join(small(done), "class", "left").select("class", order, "n", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("at", "word"))
+    a, b = (flagged.select("word", *[F.col(c).alias(f"{x}{c}") for c in ("class", "order", "n", "sketch", "done", "at")]) for x in "ab")
+    # one condition over both sides: what is settled needn't be met by an earlier class, but both sides are one exchange
+    open_later = F.when(F.col("aorder") <= F.col("border"), ~F.col("bdone")).otherwise(F.lit(False))
+    met = a.join(b, "word").filter(open_later & (F.col("aclass") != F.col("bclass")) & fits("a", "b", percent))
+    pairs = materialize(met.select(F.col("aclass").alias("a"), F.col("bclass").alias("b")).distinct(), "pairs")
+    discard(told)
+    out = materialize(verified(pairs, each, percent).select(F.col("b").alias("class")).union(settled).distinct(), "linked")
+    discard(pairs, settled)
+    return out
+
+
+def kept(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, text_key, lines: of each distinct document with words, the numbers of the lines with words that stay."""
+    each = materialize(classes(lines(docs)), "classes")
+    gone = linked(each, percent)
     # a line with words stays only where it is its class's first and no earlier class links to it
-    kept = materialize(stays, "kept_lines").groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_set("line").alias("_kept"))
-    return materialize(kept, "kept")
+    stays = each.select("class", "first").join(small(gone), "class", "left_anti").select("first.*")
+    out = materialize(stays.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("lines")), "kept")
+    discard(each, gone)
+    return out
 
 
 def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs with text less its later matches, n_lines and n_removed."""
-    kept = small(removed(docs, percent))
-    d = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left")
-    body = F.split("text", "\n", -1)
-    numbered = F.transform(body, lambda x, k: F.struct(x.alias("x"), k.alias("k")))
-    stays = F.filter(numbered, lambda s: F.coalesce(F.array_contains("_kept", s["k"]), F.lit(False)) | (F.regexp_replace(s["x"], r"[\s\p{Z}]+", "") == ""))
-    d = d.withColumn("_stays", stays)
-    d = d.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(body))).withColumn("n_removed", F.when(F.col("text").isNull(), 0).otherwise(F.size(body) - F.size("_stays")))
-    return d.withColumn("text", F.array_join(F.transform("_stays", lambda s: s["x"]), "\n")).drop("_id", "_key", "_kept", "_stays")
+    stay = small(kept(docs, percent))
+    every = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in every]).alias("row"), docs["`doc_id`"].alias("own"), docs["`text`"].alias("body"), F.xxhash64(docs["`text`"]).alias("key"))
+    met = row.join(stay, F.col("own").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left").select("row", "body", "lines")
+    numbered = F.transform(F.split("body", "\n", -1), lambda x, k: F.struct(x.alias("x"), k.alias("k")))
+    stays = F.filter(numbered, lambda s: F.coalesce(F.array_contains("lines", s["k"]), F.lit(False)) | ~s["x"].rlike(r"[^\s\p{Z}]"))
+    met = met.select("row", "body", stays.alias("stays"))
+    total = F.when(F.col("body").isNull(), 0).otherwise(F.size(F.split("body", "\n", -1)))
+    text = F.array_join(F.transform("stays", lambda s: s["x"]), "\n")
+    removed = F.when(F.col("body").isNull(), 0).otherwise(total - F.size("stays"))
+    return met.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in every], total.alias("n_lines"), removed.alias("n_removed"))
