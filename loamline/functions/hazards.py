@@ -6,15 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Type, severity, pattern; shell injection counts in structured fields only.
-_ADDRESS = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
-_SUFFIXES = "tk|ml|ga|cf|gq|top|xyz|buzz|club|work|date|racing|download"
-_COMMANDS = "rm|curl|wget|chmod|bash|sh|python|perl|nc|ncat"
 HAZARDS = (
     ("embedded_active_content", "warning", r"(?i)<\s*(?:script|iframe|object|embed|applet)\b[^>]*>"),
     ("javascript_uri", "warning", r"(?i)javascript\s*:"),
     ("base64_payload", "info", r"[A-Za-z0-9+/=]{500,}"),
-    ("shell_injection", "warning", rf"(?i)(?:\$\(.*?\)|`[^`]{{2,}}`|;\s*(?:{_COMMANDS})\b|&&\s*(?:{_COMMANDS})\b|\|\s*(?:bash|sh|python|perl)\b)"),
-    ("suspicious_url", "info", rf"(?i)https?://(?:{_ADDRESS}|.*?\.(?:{_SUFFIXES})\b|.*?pastebin\.com/raw/|.*?transfer\.sh/)"),
+    ("shell_injection", "warning", r"(?i)(?:\$\(.*?\)|`[^`]{2,}`|;\s*(?:rm|curl|wget|chmod|bash|sh|python|perl|nc|ncat)\b|&&\s*(?:rm|curl|wget|chmod|bash|sh|python|perl|nc|ncat)\b|\|\s*(?:bash|sh|python|perl)\b)"),
+    ("suspicious_url", "info", r"(?i)https?://(?:[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}|.*?\.(?:tk|ml|ga|cf|gq|top|xyz|buzz|club|work|date|racing|download)\b|.*?pastebin\.com/raw/|.*?transfer\.sh/)"),
 )
 STRUCTURED = ("url", "source_url", "link", "command", "cmd", "script", "filename", "path", "file_path", "download_url")
 SEVERITIES = ("info", "warning")

@@ -16,8 +16,8 @@ ALLOW = (
     "commercial use allowed", "royalty[- ]free", "free to use", "free of charge", "free for any", "free for all",
     "first[- ]party", "owner[- ]authori[sz]ed", "metadata index", "godl", "government open data license",
 )
-_DENY = rf"\b({'|'.join(DENY)})\b"
-_ALLOW = rf"\b({'|'.join(ALLOW)})\b"
+#: Edges of words, whatever the Java: its \\b is of ASCII words alone in newer versions.
+_DENY, _ALLOW = (rf"(?<![\p{{L}}\p{{N}}_])({'|'.join(x)})(?![\p{{L}}\p{{N}}_])" for x in (DENY, ALLOW))
 
 
 def _plain(raw: Column) -> Column:
@@ -56,12 +56,24 @@ NAMES = (
     ("gplv3", "GPL-3.0"), ("gpl", "GPL-3.0"), ("mpl", "MPL-2.0"), ("cc0", "CC0-1.0"), ("odbl", "ODbL-1.0"),
     ("openrail", "OpenRAIL"), ("all rights reserved", "All Rights Reserved"), ("public domain", "Public Domain"),
 )
+#: A stated usage grant and its label, in order; what isn't commercial comes first.
 GRANTS = (
-    (r"(?i)non[- ]?commercial\s+(?:use|purposes?)", "Non-commercial"), (r"(?i)free\s+for\s+commercial\s+use", "Free for commercial use"),
-    (r"(?i)commercial\s+use\s+(?:is\s+)?(?:permitted|allowed)", "Commercial use permitted"), (r"(?i)royalty[- ]free", "Royalty-free"),
-    (r"(?i)free\s+of\s+charge|free\s+to\s+use|free\s+for\s+(?:any|all)\s+(?:use|purposes?)", "Free to use"),
-    (r"(?i)free\s+for\s+public\s+use|\bpublic\s+use\b", "Public use"),
-)
+    (r"free\s+for\s+non[- ]?commercial", "Non-commercial use only"),
+    (r"non[- ]?commercial\s+use\s+only", "Non-commercial use only"),
+    (r"not\s+(?:for|permitted\s+for)\s+commercial\s+use", "Non-commercial use only"),
+    (r"free\s+for\s+(?:personal\s+and\s+)?commercial\s+use", "Free for commercial use"),
+    (r"commercial\s+use\s+(?:is\s+)?(?:permitted|allowed)", "Commercial use permitted"),
+    (r"(?:permitted|allowed)\s+for\s+commercial(?:\s+(?:use|purposes?))?", "Commercial use permitted"),
+    (r"may\s+be\s+used\s+(?:freely\s+)?for\s+(?:any\s+)?commercial", "Commercial use permitted"),
+    (r"royalty[- ]free", "Royalty-free"),
+    (r"free\s+of\s+charge", "Free to use"),
+    (r"free\s+to\s+use", "Free to use"),
+    (r"free\s+for\s+(?:any|all)\s+(?:use|purposes?)", "Free to use"),
+    (r"free\s+for\s+public\s+use", "Public use"),
+    (r"\bpublic\s+use\b", "Public use"),
+)
+#: Elements of a Creative Commons licence and the words that name them, in canonical order.
+ELEMENTS = (("BY", "attribution"), ("NC", "non-?commercial"), ("SA", "share-?alike"), ("ND", "noderiv"))
 
 
 def normalized(raw: Column) -> Column:
@@ -69,16 +81,20 @@ def normalized(raw: Column) -> Column:
     s = F.trim(F.coalesce(raw.cast("string"), F.lit("")))
     low = F.lower(s)
     by_url = F.concat(F.lit("CC "), F.upper(F.regexp_extract(low, r"/licenses/([a-z0-9\-]+)/(\d+\.\d+)", 1)), F.lit(" "), F.regexp_extract(low, r"/licenses/([a-z0-9\-]+)/(\d+\.\d+)", 2))
-    code = F.upper(F.regexp_replace(F.regexp_extract(low, r"cc[ \-]?(by(?:[ \-]?(?:nc|sa|nd))*)", 1), " ", "-"))
+    named = F.array_compact(F.array(*[F.when(low.rlike(words), F.lit(name)) for name, words in ELEMENTS]))
+    short = F.split(F.upper(F.regexp_extract(low, r"cc[ \-]?(by(?:[ \-]?(?:nc|sa|nd))*)", 1)), "[ -]+")
+    order = F.array(*[F.lit(name) for name, _ in ELEMENTS])
+    code = F.array_join(F.when(F.size(named) > 0, named).otherwise(F.array_intersect(order, short)), "-")
     version = F.regexp_extract(low, r"v?(\d\.\d)", 1)
     by_text = F.concat(F.lit("CC "), code, F.lit(" "), F.when(version == "", "4.0").otherwise(version))
     out = F.when(s.rlike(r"^[A-Za-z0-9.\-+ ]{2,40}$") & ~low.contains("noassertion"), s).otherwise("")
     for needle, name in reversed(NAMES):
         out = F.when(low.contains(needle), F.lit(name)).otherwise(out)
-    out = F.when(low.rlike(r"^cc[ \-]?by") & (code != ""), by_text).otherwise(out)
+    prose = low.contains("creative commons") | low.rlike(r"^cc[ \-]?by") | low.startswith("cc ")
+    out = F.when(prose & (code != ""), by_text).when(prose & low.rlike("cc0|zero"), "CC0-1.0").otherwise(out)
     at_cc = low.contains("creativecommons.org")
     out = F.when(at_cc & low.rlike(r"/licenses/[a-z0-9\-]+/\d+\.\d+"), by_url).otherwise(out)
-    out = F.when(at_cc & low.rlike("publicdomain/mark"), "Public Domain").otherwise(out)
+    out = F.when(at_cc & low.contains("publicdomain"), "Public Domain").otherwise(out)
     return F.when(at_cc & low.rlike("publicdomain/zero|/cc0"), "CC0-1.0").otherwise(out)
 
 
@@ -86,7 +102,7 @@ def grant(text: Column) -> Column:
     """The first usage grant that a text states, or empty."""
     out = F.lit("")
     for pattern, label in reversed(GRANTS):
-        out = F.when(text.rlike(pattern), F.lit(label)).otherwise(out)
+        out = F.when(text.rlike("(?i)" + pattern), F.lit(label)).otherwise(out)
     return out
 
 

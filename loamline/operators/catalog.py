@@ -94,7 +94,7 @@ def rename_subdomain(rows: DataFrame, old: str, new: str) -> DataFrame:
 
 def delete_rows(rows: DataFrame, links: list[str] = (), subdomains: list[str] = (), positions: list[int] = ()) -> DataFrame:
     """Without the rows of the given links, sub-domains or 1-based positions (`ordinal` orders)."""
-    d = rows.filter(~urls.normalized(F.col("url")).isin([x.lower().split("://")[-1].removeprefix("www.").rstrip("/") for x in links])) if links else rows
+    d = new_links(rows, rows.sparkSession.createDataFrame([(x,) for x in links], "url string")) if links else rows
     d = d.filter(~F.col("sub_domain").isin(list(subdomains))) if subdomains else d
     return d.filter(~F.col("ordinal").isin(list(positions))) if positions else d
 
@@ -211,11 +211,11 @@ def data_funnel(stages: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def rates(samples: DataFrame, by: str, ts: str, value: str) -> DataFrame:
-    """Samples with `rate`: the increase a second since the last one, at least 0; null where no time passed."""
-    w = Window.partitionBy(by).orderBy(ts)
-    at = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
-    dt = at - F.lag(at).over(w)
+def rates(samples: DataFrame, by: str, ts: str, value: str, *ties: str) -> DataFrame:
+    """Samples with `rate`: the increase a second since the last one (by ts, then ties), at least 0; null where no time passed."""
+    w = Window.partitionBy(by).orderBy(ts, *ties)
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    dt = (at - F.lag(at).over(w)) / 1e6
     return samples.withColumn("rate", F.when(dt > 0, F.greatest(F.lit(0.0), F.col(value) - F.lag(value).over(w)) / dt))
 
 

@@ -6,7 +6,9 @@ route_to() writes each route apart. Order is data: `ordinal` columns (file, line
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
@@ -158,23 +160,25 @@ def sanitize(df: DataFrame) -> DataFrame:
     return df.withColumn("_sanitized", changes).withColumns({k: v for k, v in out.items()}) if out else df.withColumn("_sanitized", F.lit(False))
 
 
-def clean(df: DataFrame, conf: config.Clean = config.Clean(), drop_foreign: bool = False, translate: lang.Translator = lang.no_translator, written: bool = True) -> DataFrame:
+def clean(df: DataFrame, conf: config.Clean = config.Clean(), drop_foreign: bool = False, translate: lang.Translator = lang.no_translator, written: bool = True, redactor: Callable[[Column], Column] = pii.redact) -> DataFrame:
     """Each record of df (any shape) with text, route, stage, reason, pii (spans redacted), lang and counters' flags.
 
-    The order of stages is the engine's contract: map, sanitise, anomaly, redaction, language. The result is written to
-    the shared folder and read back (written=True), so that filters and self-joins after it don't work the rules out
-    again; written=False leaves the plan lazy.
+    The order of stages is the engine's contract: map, sanitise, anomaly, redaction, language. The sanitised text and
+    the result are written to the shared folder and read back (written=True), so that no rule works out another's again
+    and filters and self-joins after it repeat none; written=False leaves the plan lazy. `redactor` is a function from a
+    text column to struct(text, n).
     """
     d = map_text(df)
     before = structural(F.col("text"), conf.min_chars)
     d = sanitize(d.withColumn("_was_bad", before.isNotNull()))
+    d = table(d, "tidy") if written else d
     parse_error = F.col("_parse_error") if "_parse_error" in df.columns else None
     d = d.withColumn("_class", classify(F.col("text"), conf, parse_error))
     d = d.withColumn("_class", F.when(F.col("_text_field").isNull(), F.struct(F.lit("excluded").alias("kind"), F.lit("no text").alias("reason"))).otherwise(F.col("_class")))
     if parse_error is not None:
         d = d.withColumn("_class", F.when(parse_error, F.struct(F.lit("structural").alias("kind"), F.lit("json parse error").alias("reason"))).otherwise(F.col("_class")))
     passed = F.col("_class.kind") == "clean"
-    d = d.withColumn("_pii", pii.redact(F.when(passed, F.col("text"))))
+    d = d.withColumn("_pii", redactor(F.when(passed, F.col("text"))))
     redacted = F.when(F.col("_pii.n") > 0, text.strip(F.col("_pii.text"))).otherwise(F.col("text"))
     d = d.withColumn("text", F.when(passed, redacted).otherwise(F.col("text"))).withColumn("pii", F.when(passed, F.col("_pii.n")).otherwise(0))
     d = d.withColumn("detected", F.when(passed, lang.detect(F.col("text"))))
@@ -197,16 +201,18 @@ def first_wins(df: DataFrame, key: Column, order: list[Column], reason: str = "e
 
     The first row of a key is found by a pre-aggregated minimum, so a key of a third of all rows meets in no task.
     """
-    d = df.withColumn("_key", key).withColumn("_at", F.struct(*order))
-    first = d.groupBy(F.col("_key").alias("_of")).agg(F.min("_at").alias("_first"))
+    every = [c for c in df.columns if c not in ("duplicate", "dup_reason")]
+    d = df.select(F.struct(*[F.col(f"`{c}`") for c in every]).alias("row"), key.alias("key"), F.struct(*order).alias("at"))
+    first = d.groupBy(F.col("key").alias("of")).agg(F.min("at").alias("first"))
     # null-safe: a null key is a key, and no filter on the key's expression is pushed down
-    d = d.join(first, F.col("_key").eqNullSafe(F.col("_of"))).withColumn("duplicate", F.col("_at") != F.col("_first"))
-    return d.withColumn("dup_reason", F.when(F.col("duplicate"), F.lit(reason))).drop("_key", "_of", "_at", "_first")
+    d = d.join(first, F.col("key").eqNullSafe(F.col("of"))).withColumn("again", F.col("at") != F.col("first"))
+    return d.select(*[F.col("row").getField(c).alias(c) for c in every], F.col("again").alias("duplicate"), F.when(F.col("again"), F.lit(reason)).alias("dup_reason"))
 
 
 def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """Of each key the row that comes last by order (a pre-aggregated maximum)."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("row")).select("row.*")
 
 
 def not_in_journal(df: DataFrame, key: Column, journal: DataFrame) -> DataFrame:

@@ -16,13 +16,13 @@ def pairs(df: DataFrame, key: str = "doc_id", c: str = "text", k: int = 5, thres
     Equal sets are one class until the end, so copies make no pairs of their own before verification.
     """
     sets = df.select(F.col(key).alias("id"), F.transform(text.shingles(text.split_words(F.col(c)), k), lambda s: F.xxhash64(s)).alias("s"))
-    sets = sets.filter("size(s) > 0").withColumn("s", F.array_sort(F.array_distinct("s"))).withColumn("class", F.xxhash64("s"))
+    sets = sets.filter("size(s) > 0").withColumn("s", F.sort_array(F.array_distinct("s"))).withColumn("class", F.xxhash64("s"))
     members = table(sets.select("id", "class"), "members")
     classes = table(sets.groupBy("class").agg(F.first("s").alias("s")), "classes")
     rare = classes.select(F.explode("s").alias("x")).groupBy("x").agg(F.count("*").alias("df")).filter("df > 1")
     each = classes.select("class", F.size("s").alias("n"), F.explode("s").alias("x")).join(rare, "x", "left")
     # what stands in no other class goes first and meets nothing; only the rest of the prefix is kept
-    ranked = each.groupBy("class", "n").agg(F.array_sort(F.collect_list(F.when(F.col("df").isNotNull(), F.struct("df", "x")))).alias("o"))
+    ranked = each.groupBy("class", "n").agg(F.sort_array(F.collect_list(F.when(F.col("df").isNotNull(), F.struct("df", "x")))).alias("o"))
     least = F.ceil(F.col("n") * threshold - 1e-9).cast("int")
     keep = F.greatest(F.size("o") - least + 1, F.lit(0))
     prefix = table(ranked.select("class", "n", F.explode(F.slice("o", 1, keep)).alias("o")).select("class", "n", F.col("o.x").alias("x")), "prefix")

@@ -57,11 +57,13 @@ def resolve_domain(df: DataFrame, domains: DataFrame, c: str = "sub_domain") ->
     return df.join(table, key(F.col(c)) == F.col("_name"), "left").withColumns({"domain_name": F.col("_d.domain_name"), "subdomain_name": F.col("_d.subdomain_name")}).drop("_name", "_d")
 
 
-def build(df: DataFrame, mapper: str = "generic") -> DataFrame:
+def build(df: DataFrame, mapper: str = "generic", written: bool = False) -> DataFrame:
     """Records (text, source, url, license, file, sub_domain and whatever a mapper uses, domain names resolved) with
-    the canonical fields in `record`, and the columns of df."""
-    t = MAPPERS[mapper](df)
+    the canonical fields in `record`, and the columns of df. written: the mapped text is written and read back first,
+    so that the fields that are counted from it don't map it again."""
     have = set(df.columns)
+    df = df.withColumn("_mapped", MAPPERS[mapper](df))
+    df, t = (table(df, "mapped") if written else df), F.col("_mapped")
     col = lambda n: F.col(n) if n in have else F.lit(None).cast("string")
     file = F.coalesce(col("file"), col("source"), F.lit(""))
     values = {
@@ -72,7 +74,7 @@ def build(df: DataFrame, mapper: str = "generic") -> DataFrame:
         "record_type": text.record_type(file, col("source")), "domain_label": F.lit(ABSTAIN), "domain_name": col("domain_name"), "subdomain_label": F.lit(ABSTAIN),
         "subdomain_name": col("subdomain_name"), "safe_unsafe": col("safe_unsafe"), "confidence": col("confidence").cast("double"), "instruction": col("instruction"), "reviewed_by": col("reviewed_by"),
     }
-    return df.withColumn("record", F.struct(*[values[f].alias(f) for f in FIELDS]))
+    return df.withColumn("record", F.struct(*[values[f].alias(f) for f in FIELDS])).drop("_mapped")
 
 
 def validate(c: Column, floor: int = 20, licences_required: bool = False) -> Column:
@@ -125,7 +127,7 @@ def process(df: DataFrame, domains: DataFrame, order: list[str], synthetic: Data
     `reason`. synthetic: a table of `identity`, of sources whose records are diverted."""
     from loamline.functions import urls
 
-    d = build(resolve_domain(df, domains), mapper)
+    d = build(resolve_domain(df, domains), mapper, written=True)
     if synthetic is not None and "url" in df.columns:
         marks = synthetic.select(F.col("identity").alias("_syn")).distinct()
         d = d.withColumn("_id", urls.source_identity(F.col("url"))).join(marks, F.col("_id") == F.col("_syn"), "left").withColumn("_synthetic", F.col("_syn").isNotNull()).drop("_id", "_syn")

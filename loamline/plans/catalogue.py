@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline import config
@@ -81,7 +81,6 @@ def repeated_line_ratio(spark, sf_dir):
     return rounded(corpus(spark, sf_dir).select("doc_id", text.repeated_line_ratio(F.col("text")).alias("ratio")))
 
 
-_TOP = f"case when len({_TOKENS}) >= 20 then list_max(map_values(list_histogram({_TOKENS}))) / len({_TOKENS}) else 0.0 end"
 _TOP = f"case when len({_TOKENS}) >= 20 then list_aggregate(map_values(list_aggregate({_TOKENS}, 'histogram')), 'max') / len({_TOKENS}) else 0.0 end"
 
 
@@ -243,6 +242,45 @@ def loss_top_reason(spark, sf_dir):
     return catalog.loss(clean.report(_cleaned(spark, sf_dir), ["sub_domain", "source"]).filter("sub_domain != 'TOTAL'"))
 
 
+def _plain(spark, sf_dir) -> DataFrame:
+    """The chain without redaction, which SQL can state."""
+    none = lambda c: F.struct(c.alias("text"), F.lit(0).alias("n"))
+    d = clean.clean(corpus(spark, sf_dir), redactor=none)
+    key = F.when(F.col("route") == "clean", text.exact_fingerprint(F.col("text"))).otherwise(F.concat(F.lit("row:"), F.col("doc_id").cast("string")))
+    return clean.first_wins(d, key, [F.col("source"), F.col("doc_id")])
+
+
+_CHAIN = f"""a as (select doc_id, source, lang as sub_domain, case when {_T} <> '' then text end as raw from documents),
+ b as materialized (select doc_id, source, sub_domain, raw, coalesce({_TIDY.replace("text", "raw", 1)}, '') as text from a),
+ k as materialized (select *, case when raw is null then 'excluded' else {_KIND} end as kind, {_LANG} as detected, {_FP} as f from b),
+ r as (select *, kind = 'clean' and detected not in ('en', 'unknown') as lost from k),
+ c as (select *, case when kind = 'structural' or lost then 'dropped' when kind = 'behavioral' then 'flagged' when kind = 'excluded' then 'excluded' else 'clean' end as route,
+  case when lost then 'language' when kind in ('structural', 'behavioral') then 'anomaly' when kind = 'excluded' then 'textmap' end as stage,
+  raw is distinct from text or {_TIDY.replace("text", "source", 1)} is distinct from source as sanitized, raw is null or length({_STRIP.format('raw')}) < 50 as was_bad from r),
+ d as (select *, row_number() over (partition by case when route = 'clean' then f else 'row:' || doc_id end order by source, doc_id) > 1 as duplicate from c),
+ g as (select sub_domain, source, count(*) as n_in, count_if(route = 'clean' and not duplicate) as n_out, count_if(route = 'dropped' and stage = 'anomaly') as struct_dropped, count_if(route = 'flagged') as flagged,
+  count_if(route = 'excluded') as excluded_no_text, count_if(stage = 'language') as lang_dropped, count_if(route = 'clean' and duplicate) as exact_dups, count_if(sanitized) as sanitized,
+  count_if(was_bad and sanitized and kind not in ('structural', 'excluded')) as struct_fixed, count_if(false) as pii_records, cast(0 as bigint) as pii_spans, count_if(false) as mapped_text, count_if(false) as translated
+  from d group by grouping sets ((sub_domain, source), ()))"""
+
+
+@query(f"with {_CHAIN} select case when sub_domain is null and source is null then 'TOTAL' else sub_domain end as sub_domain, coalesce(source, '') as source, * exclude (sub_domain, source) from g")
+def clean_report_unredacted(spark, sf_dir):
+    return clean.report(_plain(spark, sf_dir), ["sub_domain", "source"])
+
+
+@query(f"with {_CHAIN} select route, stage, duplicate, count(*) as records from d group by all")
+def clean_routes_unredacted(spark, sf_dir):
+    return _plain(spark, sf_dir).groupBy("route", "stage", "duplicate").agg(F.count("*").alias("records"))
+
+
+@query(f"""with {_CHAIN}, s as (select source, {", ".join(f"cast(sum({x}) as bigint) as {x}" for x in ("n_in", "n_out", *catalog.MECHANISMS))} from g where source is not null group by 1)
+select *, {" + ".join(catalog.MECHANISMS)} as lost, round(100.0 * n_out / n_in, 1) as kept_pct,
+ case when {" + ".join(catalog.MECHANISMS)} > 0 then case greatest({", ".join(catalog.MECHANISMS)}) {" ".join(f"when {x} then '{x}'" for x in catalog.MECHANISMS)} end end as top_reason from s""")
+def loss_top_reason_unredacted(spark, sf_dir):
+    return catalog.loss(clean.report(_plain(spark, sf_dir), ["sub_domain", "source"]).filter("sub_domain != 'TOTAL'"))
+
+
 @query("""with t as (select conv_id, turn, case lower(role) when 'user' then 'User' when 'assistant' then 'Assistant' else upper(role[1]) || lower(role[2:]) end || ': ' || """ + _T + """ as part
  from conversations where lower(role) <> 'system' and """ + _T + """ <> '')
 select c.conv_id, sha256(string_agg(part, chr(10) || chr(10) order by turn, part)) as text_sha256, count(*) as turns from (select distinct conv_id from conversations) c join t using (conv_id) group by 1""")
@@ -336,7 +374,7 @@ def domain_cap(spark, sf_dir):
 
 @query()
 def source_cap(spark, sf_dir):
-    """Sub-domains are event types, sources are hours: no source passes a low ceiling after the cut."""
+    """Sub-domains are event types, sources are thirds of the users: no source passes a low ceiling after the cut."""
     d = read(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("sub_domain"), (F.col("user_id") % 3).cast("string").alias("source"))
     d = metrics.source_cap(d, ["event_id"], 0.34)
     return d.groupBy("sub_domain", "source").agg(F.count("*").alias("records"))
@@ -457,11 +495,11 @@ def host_suffixes(spark, sf_dir):
 # --- licences --------------------------------------------------------------------------------------------------------------
 
 _LOW = r"trim(regexp_replace(lower(text), '[\s\p{Z}]+', ' ', 'g'))"
-_DENY, _ALLOW = ("(" + "|".join(x) + ")" for x in (licence.DENY, licence.ALLOW))
+_DENY, _ALLOW = (rf"(^|[^\p{{L}}\p{{N}}_])({'|'.join(x)})($|[^\p{{L}}\p{{N}}_])" for x in (licence.DENY, licence.ALLOW))
 
 
-@query(rf"""with l as (select doc_id, {_LOW} as s from documents) select doc_id, case when regexp_matches(s, '\b{_DENY}\b') then 'blocked' when regexp_matches(s, '\b{_ALLOW}\b') then 'ok' else 'unknown' end as verdict,
- not regexp_matches(s, '\b{_DENY}\b') and regexp_matches(s, '\b{_ALLOW}\b') as ok from l""")
+@query(rf"""with l as (select doc_id, {_LOW} as s from documents) select doc_id, case when regexp_matches(s, '{_DENY}') then 'blocked' when regexp_matches(s, '{_ALLOW}') then 'ok' else 'unknown' end as verdict,
+ not regexp_matches(s, '{_DENY}') and regexp_matches(s, '{_ALLOW}') as ok from l""")
 def licence_verdict(spark, sf_dir):
     t = F.col("text")
     return corpus(spark, sf_dir).select("doc_id", licence.verdict(t).alias("verdict"), licence.classify(t).getField("ok").alias("ok"))
@@ -532,7 +570,10 @@ def manifest_totals(spark, sf_dir):
     return normalize.manifest_totals(d)
 
 
-@query()
+_PART = "cast(sum(cast('0x' || substr(h, {0}, 12) as bigint)) as varchar)"
+
+
+@query(f"select sha256(concat_ws(':', {', '.join(_PART.format(k) for k in (1, 13, 25, 37))}, cast(count(*) as varchar))) as fingerprint from (select sha256(text) as h from documents)")
 def corpus_fingerprint(spark, sf_dir):
     return normalize.fingerprint(corpus(spark, sf_dir).select(text.content_hash(F.col("text")).alias("content_hash")))
 
@@ -563,7 +604,11 @@ def near_dup_pairs(spark, sf_dir):
     return rounded(neardup.pairs(corpus(spark, sf_dir)))
 
 
-@query()
+@query(f"""with recursive {_PAIRS}, e as (select b, list(a) as near, row_number() over (order by b) as i from p group by b),
+ k as (select 0::bigint as i, (select list(distinct a) from p where a not in (select b from p)) as kept
+  union all select k.i + 1, case when list_has_any(e.near, k.kept) then k.kept else list_append(k.kept, e.b) end from k join e on e.i = k.i + 1),
+ z as (select kept from k order by i desc limit 1)
+select id, list_contains((select kept from z), id) as kept from (select a as id from p union select b from p)""")
 def near_dup_first_wins(spark, sf_dir):
     return neardup.first_wins(neardup.pairs(corpus(spark, sf_dir)))
 
@@ -575,10 +620,7 @@ def near_dup_first_wins(spark, sf_dir):
  from events window w as (partition by event_type order by ts, event_id)""")
 def event_rate(spark, sf_dir):
     d = read(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    w = Window.partitionBy("event_type").orderBy("ts", "event_id")
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
-    dt = (at - F.lag(at).over(w)) / 1e6
-    return rounded(d.select("event_id", F.when(dt > 0, F.greatest(F.lit(0.0), F.col("value") - F.lag("value").over(w)) / dt).alias("rate")))
+    return rounded(catalog.rates(d, "event_type", "ts", "value", "event_id").select("event_id", "rate"))
 
 
 @query("""with s as (select event_type as stage, min(ts) as started from events group by 1) select stage, strftime(started, '%Y-%m-%d %H:%M:%S.%f') as started, strftime(lead(started) over (order by started, stage), '%Y-%m-%d %H:%M:%S.%f') as ended from s""")
@@ -615,7 +657,8 @@ def round_robin(spark, sf_dir):
 @query("select p_partkey, p_size from part order by p_size nulls last, p_partkey limit 100")
 def smallest_first(spark, sf_dir):
     """The first hundred in the order of fetching (the limit is the operator)."""
-    return read(spark, sf_dir, "part").select("p_partkey", "p_size").orderBy(F.col("p_size").asc_nulls_last(), "p_partkey").limit(100)
+    d = read(spark, sf_dir, "part").select("p_partkey", "p_size", F.col("p_size").alias("size_mb"), F.lit("http://a/b.csv").alias("url"), F.lit("Dataset").alias("category"), F.col("p_partkey").alias("ordinal"))
+    return catalog.read_catalog(d).select("p_partkey", "p_size").limit(100)
 
 
 @query("""select c.c_custkey, c.c_name, n.n_name, r.r_name, count(o.o_orderkey) as orders, case when count(o.o_orderkey) > 0 then 'ingested' else 'pending' end as status

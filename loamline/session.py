@@ -34,13 +34,19 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder (spark.checkpoint.dir; a local one where that is unset) and read back."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a folder of the warehouse
+    on a cluster, and a temporary one in local mode, where driver and executors are one process."""
     told = spark.conf.get("spark.checkpoint.dir", None)
     if not told:
-        told = "file://" + tempfile.mkdtemp(prefix="loamline-")
+        local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
+        told = "file://" + tempfile.mkdtemp(prefix="loamline-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set("spark.checkpoint.dir", told)
-    path = f"{told.rstrip('/')}/loamline/{name}-{uuid.uuid4().hex}"
+    return told.rstrip("/")
+
+
+def table(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back."""
+    path = f"{shared_dir(df.sparkSession)}/loamline/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
