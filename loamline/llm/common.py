@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -10,19 +9,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.session import ship
+from loamline.session import shared_dir, ship
 
-#: Rows of a narrow table (a few numbers each) that may be broadcast; beyond it the joins shuffle.
-BROADCAST_ROWS = 500_000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
-    told = spark.conf.get("spark.checkpoint.dir", None)
-    if not told:
-        told = "file://" + tempfile.mkdtemp(prefix="loamline-")
-        spark.conf.set("spark.checkpoint.dir", told)
-    return told.rstrip("/")
+#: Rows, and bytes as written, of a table that may be broadcast; beyond either the joins shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 16 << 20
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -52,15 +42,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def _path(spark: SparkSession, name: str):
+    """A path and its file system, whatever that is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables that materialize() wrote and that nothing reads any more."""
     for t in tables:
-        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_at)
-        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        path, store = _path(t.sparkSession, t.written_at)
+        store.delete(path, True)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hints a broadcast only if df (already materialized, narrow) has at most `rows` rows; else Spark shuffles."""
+    """Hints a broadcast only if df (already materialized) has at most `rows` rows and BROADCAST_BYTES; else Spark shuffles."""
+    if (at := vars(df).get("written_at")) and _path(df.sparkSession, at)[1].getContentSummary(_path(df.sparkSession, at)[0]).getLength() > BROADCAST_BYTES:
+        return df
     return F.broadcast(df) if df.count() <= rows else df
 
 

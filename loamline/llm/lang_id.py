@@ -7,7 +7,8 @@ the domain's, the domain's by the whole, and leave the page itself out. The post
 
 Defined cases: null html has no text and an uninformative likelihood; a missing declaration, suffix or host is a value
 of its own; repeated rows are each judged; without training texts there are no languages and every result is null; an
-empty table gives no rows; extra columns are kept.
+empty table gives no rows; a text of any length counts as `most` trigrams at most; of equal posteriors the language
+that sorts last wins; extra columns, whatever their names, are kept.
 """
 
 from __future__ import annotations
@@ -69,10 +70,19 @@ def declared(html: Column) -> Column:
 
 def judge(pages: DataFrame, model: tuple[list[str], np.ndarray], settings: Settings = Settings()) -> DataFrame:
     """pages without html, with host, suffix, declared, text_lang, lang, probability."""
+    found = ("host", "suffix", "declared", "text_lang", "lang", "probability")
+    every = [c for c in pages.columns if c not in ("html", *found)]
+    named = {n: pages[f"`{n}`"] if n in pages.columns else F.lit(None).cast("string") for n in ("url", "html")}
+    judged = _judged(pages.select(F.struct(*[pages[f"`{c}`"] for c in every]).alias("row"), *[c.alias(n) for n, c in named.items()]), model, settings)
+    return judged.select(*[F.col("row").getField(c).alias(c) for c in every], *found)
+
+
+def _judged(pages: DataFrame, model: tuple[list[str], np.ndarray], settings: Settings) -> DataFrame:
+    """judge() of pages of row, url and html."""
     langs, table = model
     spark = pages.sparkSession
     host = F.coalesce(F.lower(F.regexp_extract("url", r"(?s)^.*?://([^/?#:]*)", 1)), F.lit(""))
-    d = pages.drop("host", "suffix", "declared", "text_lang", "lang", "probability").withColumns({"host": host, "declared": declared(F.col("html"))})
+    d = pages.withColumns({"host": host, "declared": declared(F.col("html"))})
     d = d.withColumn("suffix", F.substring_index("host", ".", -1)).withColumn("_domain", F.substring_index("host", ".", -2))
     if not langs:
         none = F.lit(None).cast("string")

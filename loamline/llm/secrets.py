@@ -1,13 +1,15 @@
 """Secret scans over a trigram inverted index.
 
-Each rule's regular expression comes with the strings one of which every match must hold; their lower-cased trigrams
-give a Boolean query, an OR of ANDs. The index holds the postings, trigram to document, of the trigrams that any query
+From each rule's regular expression the strings are derived one of which every match must hold: literals, small classes,
+options and alternatives are expanded, whatever else cuts. Their lower-cased trigrams give a Boolean query, an OR of
+ANDs. The index holds the postings, trigram to document, of the trigrams that any query
 asks for. Counting a clause's trigrams a document intersects the postings; documents that meet a clause are candidates
 and are verified with the expression. Rules without mandatory trigrams scan every text.
 
 Spans come from the text's pieces between matches, by lengths summed in chunks, so that many matches in one text stay
 cheap. DataFrame and SQL functions only. Defined cases: null is empty, an empty text has no spans; a null doc_id is
-always a candidate; repeated rows are each scanned; an empty table gives no rows; extra columns are kept by scan().
+always a candidate; repeated rows are each scanned; at one place the rules' order decides; an empty table gives no rows;
+a long text costs its length times the rules; extra columns, whatever their names, are kept by scan() but for spans.
 """
 
 from __future__ import annotations
@@ -17,18 +19,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.common import materialize, small
+from loamline.llm.common import columns, materialize, small
 
 CHUNK = 256
 
 
 @dataclass(frozen=True)
 class Rule:
-    """least: what a match (or its group) must measure. holds: every match has one of these, in either case."""
+    """least: what a match (or its group) must measure."""
 
     kind: str
     pattern: str
-    holds: tuple[str, ...] = ()
     group: int = 0
     least: int = 0
 
@@ -42,29 +43,100 @@ _ASSIGN = "(" + _KEYWORDS + ")[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 
 #: The base rules, in the order in which kinds are listed, and more formats that vendors publish (fixed values).
 BASE = (
-    Rule("assign", _ASSIGN, ("password", "passwd", "secret", "token", "apikey", "api_key"), 2, 12),
-    Rule("access", "AKIA[A-Z0-9]+", ("AKIA",), 0, 18),
+    Rule("assign", _ASSIGN, 2, 12),
+    Rule("access", "AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", "[0-9a-f]{16,}"),
 )
 MORE = (
-    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
-    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-")),
-    Rule("google", "AIza[0-9A-Za-z_-]{35}", ("AIza",)),
-    Rule("private_key", "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", ("PRIVATE KEY-----",)),
-    Rule("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}", ("eyJ",)),
+    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
+    Rule("google", "AIza[0-9A-Za-z_-]{35}"),
+    Rule("private_key", "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("jwt", "eyJ[A-Za-z0-9_-]{8,}\\.eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE + MORE
 
+#: Strings that a part of an expression may stand for, characters of a class, and clauses of a query, before it is left open.
+STRINGS, CLASS, CLAUSES = 64, 8, 64
+Clauses = frozenset[frozenset[str]]
+ANY: Clauses = frozenset([frozenset()])
+
 
 def trigrams(word: str) -> list[str]:
     low = word.lower()
     return sorted({low[k : k + 3] for k in range(len(low) - 2)})
 
 
+def _least(clauses: Clauses) -> Clauses:
+    """Without clauses that ask for more than another one does."""
+    return frozenset(c for c in clauses if not any(d < c for d in clauses))
+
+
+def _of_strings(strings: frozenset[str]) -> Clauses:
+    return _least(frozenset(frozenset(trigrams(s)) for s in strings))
+
+
+def _both(a: Clauses, b: Clauses) -> Clauses:
+    """Both hold; where that takes too many clauses, only the one of fewer."""
+    every = _least(frozenset(x | y for x in a for y in b))
+    return every if len(every) <= CLAUSES else min(a, b, key=len)
+
+
+def _derived(parsed) -> tuple[frozenset[str] | None, Clauses]:
+    """Of a parsed expression: the lower-cased strings that it stands for, if they are few, and its clauses."""
+    strings, clauses, whole = frozenset([""]), ANY, True
+    for step, given in parsed:
+        own, asked = _step(step, given)
+        if own is not None and len(strings) * len(own) <= STRINGS:
+            strings = frozenset(a + b for a in strings for b in own)
+            continue
+        clauses, whole = _both(clauses, _of_strings(strings)), False
+        strings = frozenset([""]) if own is None else own
+        clauses = _both(clauses, asked) if own is None else clauses
+    return (strings, _of_strings(strings)) if whole else (None, _both(clauses, _of_strings(strings)))
+
+
+def _step(step, given) -> tuple[frozenset[str] | None, Clauses]:
+    name = str(step)
+    if name == "LITERAL":
+        return frozenset([chr(given).lower()]), ANY
+    if name == "IN":
+        found: set[str] = set()
+        for kind, value in given:
+            if str(kind) == "LITERAL":
+                found.add(chr(value).lower())
+            elif str(kind) == "RANGE" and value[1] - value[0] < 2 * CLASS:
+                found |= {chr(c).lower() for c in range(value[0], value[1] + 1)}
+            else:
+                return None, ANY
+        return (frozenset(found), ANY) if len(found) <= CLASS else (None, ANY)
+    if name == "SUBPATTERN":
+        return _derived(given[-1])
+    if name == "BRANCH":
+        each = [_derived(b) for b in given[1]]
+        if all(own is not None for own, _ in each) and sum(len(own) for own, _ in each) <= STRINGS:
+            return frozenset().union(*(own for own, _ in each)), ANY
+        every = _least(frozenset().union(*(asked for _, asked in each)))
+        return None, every if len(every) <= CLAUSES else ANY
+    if name.endswith("REPEAT"):
+        least, most, body = given
+        own, asked = _derived(body)
+        if (least, most) == (0, 1) and own is not None:
+            return own | {""}, ANY
+        if least == most == 1:
+            return own, asked
+        return None, asked if least else ANY
+    if name == "AT":
+        return frozenset([""]), ANY
+    return None, ANY
+
+
 def query(rule: Rule) -> list[list[str]]:
     """The Boolean trigram query: clauses, of which one must hold in full. Empty: every document."""
-    clauses = [trigrams(w) for w in rule.holds]
-    return clauses if all(clauses) else []
+    from re import _parser
+
+    clauses = _derived(_parser.parse(rule.pattern))[1]
+    return [] if frozenset() in clauses else sorted(sorted(c) for c in clauses)
 
 
 def index(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -117,20 +189,18 @@ def spans(text: Column, rule: Rule) -> Column:
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """docs with `spans`: array<struct<start, end, kind>>, by start, then by the order of rules."""
-    found = small(materialize(candidates(index(docs.select("doc_id", "text"), rules), rules).filter("doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("kinds").alias("_kinds")), "candidates"))
-    d = docs.drop("spans").join(found, F.col("doc_id") == F.col("_id"), "left")
+    found = materialize(candidates(index(columns(docs, "doc_id", "text"), rules), rules).filter("doc_id is not null").toDF("candidate", "kinds"), "candidates")
+    every = [c for c in docs.columns if c != "spans"]
+    d = docs.select(F.struct(*[docs[f"`{c}`"] for c in every]).alias("row"), docs["`doc_id`"].alias("own"), F.coalesce(docs["`text`"], F.lit("")).alias("body"))
+    d = d.join(small(found), F.col("own") == F.col("candidate"), "left").select("row", "own", "body", "kinds")
     none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
-    text = F.coalesce("text", F.lit(""))
-    names = []
-    for rule in rules:
-        maybe = F.col("doc_id").isNull() | F.array_contains("_kinds", rule.kind) if query(rule) else F.lit(True)
-        d = d.withColumn(f"_{rule.kind}", F.when(maybe, spans(text, rule)))
-        names.append(f"_{rule.kind}")
-    rank = {r.kind: k for k, r in enumerate(rules)}
-    ranked = lambda name, k: F.transform(F.coalesce(F.col(name), none), lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
-    every = F.array_sort(F.concat(*[ranked(n, rank[n[1:]]) for n in names]))
-    every = F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-    return d.withColumn("spans", every).drop("_id", "_kinds", *names)
+    for k, rule in enumerate(rules):
+        maybe = F.col("own").isNull() | F.array_contains("kinds", rule.kind) if query(rule) else F.lit(True)
+        d = d.withColumn(f"of{k}", F.when(maybe, spans(F.col("body"), rule)))
+    ranked = lambda k: F.transform(F.coalesce(f"of{k}", none), lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
+    sorted_ = F.sort_array(F.concat(*[ranked(k) for k in range(len(rules))]))
+    out = F.transform(sorted_, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    return d.select(*[F.col("row").getField(c).alias(c) for c in every], out.alias("spans"))
 
 
 def written(found: Column) -> Column:

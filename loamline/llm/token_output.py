@@ -29,7 +29,7 @@ from loamline.llm.common import columns, trimmed
 FILE = "shard int, segment long, first long, doc_ids array<long>, counts array<long>, offsets binary, words binary"
 DIGEST = "doc_id long, shard int, at long, n_tokens long, ids_crc32 long"
 #: Ids after which a segment ends, bytes of text that are split at once, and bytes of chunks that a worker remembers.
-SEGMENT_IDS, SPLIT_BYTES, MEMO_BYTES = 1 << 18, 12 << 20, 160 << 20
+SEGMENT_IDS, SPLIT_BYTES, MEMO_BYTES = 1 << 18, 10 << 20, 128 << 20
 #: What an entry of a memo takes beside its characters and ids; chunks that are tokenized in one call.
 _ENTRY, _LEARN = 120, 4096
 

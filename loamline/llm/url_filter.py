@@ -7,7 +7,9 @@ tokens of a URL as it has. Of those that fire, the highest confidence, then supp
 
 Only distinct URLs are judged, and the verdicts joined back. Defined cases: a null URL, or one without `://`, has an
 empty host and path and no tokens; what no rule decides gets the default verdict; repeated rows are judged alike; an
-empty table gives no rows; without labelled URLs nothing is mined; extra columns are kept by judge().
+empty table gives no rows; without `least_rows` labelled URLs nothing is mined; of rules that are as sure the one of more
+support, then of fewer tokens, then the last by name wins; a long URL has as many tokens as it has parts; extra columns,
+whatever their names, are kept by judge(). FP-growth's own conditional trees group by token, as MLlib does.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.common import materialize, small
+from loamline.llm.common import discard, materialize, small
 
 #: (verdict, host, path prefix): fixed values of the filter's base list.
 BASE_RULES = (
@@ -33,6 +35,8 @@ BASE_RULES = (
 @dataclass(frozen=True)
 class Settings:
     least_support: float = 0.002
+    #: A combination of tokens in fewer rows tells nothing, whatever share of few rows that is.
+    least_rows: int = 8
     least_confidence: float = 0.8
     #: The last labels of a host are tokens as suffixes, up to so many; each label before them is a token by its place.
     host_labels: int = 4
@@ -85,11 +89,13 @@ def mine(labelled: DataFrame, settings: Settings = Settings()) -> DataFrame:
     rows = labelled.filter("url is not null and verdict is not null")
     items = rows.select(F.array_append(tokens(F.col("url"), settings), F.concat(F.lit("verdict="), F.col("verdict"))).alias("items")).filter("size(items) > 1")
     items = materialize(items, "items")
-    if not items.head(1):
+    n = items.count()
+    if n < settings.least_rows:
+        discard(items)
         return items.sparkSession.createDataFrame([], "rule_id long, tokens array<string>, verdict string, confidence double, support double, n_tokens int")
-    model = FPGrowth(itemsCol="items", minSupport=settings.least_support, minConfidence=settings.least_confidence).fit(items)
+    model = FPGrowth(itemsCol="items", minSupport=max(settings.least_support, settings.least_rows / n), minConfidence=settings.least_confidence).fit(items)
     rules = model.associationRules.filter(F.col("consequent")[0].startswith("verdict=") & ~F.exists("antecedent", lambda x: x.startswith("verdict=")))
-    rules = materialize(rules.select(F.array_sort("antecedent").alias("tokens"), F.expr("substring(consequent[0], 9)").alias("verdict"), "confidence", "support"), "mined")
+    rules = materialize(rules.select(F.sort_array("antecedent").alias("tokens"), F.expr("substring(consequent[0], 9)").alias("verdict"), "confidence", "support"), "mined")
     # a rule says nothing new beside a shorter one of its verdict that is as sure; they share the shorter one's tokens
     a, b = rules.alias("a"), rules.alias("b")
     shorter = F.col("b.verdict") == F.col("a.verdict")
@@ -114,7 +120,8 @@ def match(urls: DataFrame, rules: DataFrame, settings: Settings = Settings()) ->
 
 def judge(pages: DataFrame, rules: DataFrame | None = None, settings: Settings = Settings()) -> DataFrame:
     """pages with host, path, rule, verdict, mined_rule. Without `rules`, they are mined from the URLs that base rules judge."""
-    d = pages.drop("host", "path", "rule", "verdict", "mined_rule")
+    every = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "mined_rule")]
+    d = pages.select(F.struct(*[pages[f"`{c}`"] for c in every]).alias("row"), pages["`url`"].alias("url"))
     urls = d.groupBy("url").agg(F.count("*").alias("rows"))
     urls = urls.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     urls = materialize(urls.withColumn("base", base_rule(F.col("host"), F.col("path"))), "urls")
@@ -122,7 +129,8 @@ def judge(pages: DataFrame, rules: DataFrame | None = None, settings: Settings =
         rules = mine(urls.filter("base is not null").select("url", F.col("base.verdict").alias("verdict")), settings)
     mined = match(urls.filter("base is null and url is not null"), rules, settings)
     judged = urls.join(mined, "url", "left").select(
-        F.col("url").alias("_url"), "host", "path", F.col("base.rule").alias("rule"),
+        F.col("url").alias("known"), "host", "path", F.col("base.rule").alias("rule"),
         F.coalesce("base.verdict", "mined_verdict", F.lit(settings.default)).alias("verdict"), "mined_rule",
     )
-    return d.join(small(materialize(judged, "judged")), F.col("url").eqNullSafe(F.col("_url")), "left").drop("_url")
+    met = d.join(small(materialize(judged, "judged")), F.col("url").eqNullSafe(F.col("known")), "left")
+    return met.select(*[F.col("row").getField(c).alias(c) for c in every], "host", "path", "rule", "verdict", "mined_rule")

@@ -177,6 +177,29 @@ def test_secrets(spark, docs, empty):
     assert secrets.query(secrets.BASE[2]) == [] and secrets.trigrams("AKIA") == ["aki", "kia"]
 
 
+def test_queries_are_derived_from_expressions():
+    held = {
+        "assign": ("password", "passwd", "secret", "token", "apikey", "api_key"), "access": ("AKIA",), "hex": (), "google": ("AIza",), "jwt": ("eyJ.eyJ",),
+        "github": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), "slack": ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-"),
+    }
+    by = {r.kind: secrets.query(r) for r in secrets.RULES}
+    for kind, words in held.items():
+        if kind == "jwt":
+            assert by[kind] == [[".ey", "eyj"]]
+        else:
+            assert by[kind] == sorted(secrets.trigrams(w) for w in words), kind
+    assert by["private_key"] == [sorted({*secrets.trigrams("-----BEGIN "), *secrets.trigrams("PRIVATE KEY-----")})]
+    r = random.Random(9)
+    part = lambda: r.choice(["abc", "[xy]z", "(?:foo|ba?r)", "q{2,3}", "w*", "[a-z]", "Den", "(k|lm)+", ".", "[^a]b"])
+    made = {"abc": ["abc"], "[xy]z": ["xz", "yz"], "(?:foo|ba?r)": ["foo", "bar", "br"], "q{2,3}": ["qq", "qqq"], "w*": ["", "ww"], "[a-z]": ["m"], "Den": ["Den"], "(k|lm)+": ["k", "lmk"], ".": ["-"], "[^a]b": ["cb"]}
+    for _ in range(300):
+        parts = [part() for _ in range(r.randrange(1, 5))]
+        text = "".join(r.choice(made[p]) for p in parts)
+        assert re.fullmatch("".join(parts), text)
+        clauses = secrets.query(secrets.Rule("x", "".join(parts)))
+        assert not clauses or any(all(g in text.lower() for g in c) for c in clauses), (parts, text)
+
+
 def test_decontaminate(spark, docs, empty):
     items = [("b", PASSAGE), ("a", "One two"), ("c", prose(300, 8)[40:400]), (None, PASSAGE), ("d", None), ("e", "..."), ("f", "Éa1"), ("g", "éA1")]
     bench = spark.createDataFrame(items, "item_id string, text string").withColumn("n_hit", F.lit(1))
@@ -476,3 +499,28 @@ def test_rarities_are_counts(spark):
 def test_boundary_by_cost():
     few, many = {n: 1000 for n in range(1, 30)}, {n: 1000 for n in range(1, 30)}
     assert ngram_join.boundary(85, few, 0.0) <= ngram_join.boundary(85, many, 200.0) and ngram_join.boundary(85, {}, 1.0) == 0
+
+
+def test_columns_of_any_name(spark):
+    """What operators call their own columns may stand in a table."""
+    names = ("_id", "_d", "_key", "_kinds", "_of", "_url", "_host", "own", "row", "key", "body", "lines", "kinds", "candidate", "known", "d", "s", "t", "draw", "hit_id", "text_key", "class", "first", "a.b")
+    docs = spark.createDataFrame([(1, BASE, "s1"), (2, BASE, "s1"), (3, PASSAGE, None), (None, None, "s2")], "doc_id long, text string, source string")
+    docs = docs.withColumns({n: F.lit(n) for n in names})
+    bench = spark.createDataFrame([("b", PASSAGE)], "item_id string, text string")
+    for out in (mixing.draw(docs), secrets.scan(docs), decontaminate.clean(docs, bench), ngram_join.first_of_each(docs), line_dedup.dedup(docs)):
+        assert out.columns[: len(docs.columns)] == docs.columns and {r["_id"] for r in out.collect()} == {"_id"}
+    pages = spark.createDataFrame([(1, "http://a.org/x", "<p>x</p>")], "page_id long, url string, html string").withColumns({n: F.lit(n) for n in names if n not in ("html",)})
+    model = lang_id.train(docs.select("doc_id", "text").withColumn("lang", F.lit("en")))
+    for out in (url_filter.judge(pages), lang_id.judge(pages, model)):
+        assert {(r["_host"], r["a.b"]) for r in out.collect()} == {("_host", "a.b")}
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("b", BASE), ("a", edits(BASE, 1, 1)), (None, edits(BASE, 1, 2))], "doc_id string, text string")
+    assert {r.doc_id for r in ngram_join.first_of_each(docs).collect()} == {"a"}
+    assert {r.doc_id: r.component_id for r in ngram_join.judge(docs).collect()} == {"a": "a", "b": "a", None: None}
+
+
+def test_few_rows_mine_nothing(spark):
+    urls = [(f"http://h{k}.com/{'de' if k % 2 else 'fr'}/{k}?a={k}&b=1&c=2&d=3&e=4&f=5&g=6&h=7", "block" if k % 2 else "allow") for k in range(7)]
+    assert url_filter.mine(spark.createDataFrame(urls, "url string, verdict string")).count() == 0
