@@ -142,8 +142,25 @@ m as (select id, min(o) as component from r group by id)
 select s.doc_id, cast(len(s.s) as bigint) as n_shingles, coalesce(m.component, s.doc_id) as component_id
 from s left join c on c.s = s.s left join m on m.id = c.id"""
 
+_OP7_SQL = r"""
+with d as (select doc_id, text, string_split(text, chr(10)) as b from documents),
+l as (select doc_id, k as line, b[k + 1] as body, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(b[k + 1]), '[\s\p{Z}]+'), lambda x: x <> ''))) as w
+      from (select doc_id, b, unnest(generate_series(0, len(b) - 1)) as k from d where text is not null)),
+c as (select *, row_number() over () as c from (select w, len(w) as n, min(struct_pack(i := doc_id, k := line)) as f from l where len(w) > 0 group by w)),
+e as (select c, n, unnest(w) as x from c),
+m as (select x, count(*) as m from e group by x),
+p as (select c, n, x from (select c, n, e.x, row_number() over (partition by c order by m, e.x) as rank from e join m on m.x = e.x) where rank <= n - (80 * n + 99) // 100 + 1),
+q as (select distinct a.c as a, b.c as b from p a join p b on a.x = b.x and a.c < b.c and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+v as (select q.a, q.b, x.f as fa, y.f as fb, x.n + y.n as n, len(list_intersect(x.w, y.w)) as i from q join c x on x.c = q.a join c y on y.c = q.b),
+g as (select distinct case when fa < fb then b else a end as c from v where 100 * i >= 80 * (n - i)),
+s as (select l.doc_id, l.line, l.body, len(l.w) = 0 or (c.f.i = l.doc_id and c.f.k = l.line and c.c not in (select c from g)) as stays from l left join c on c.w = l.w)
+select d.doc_id, cast(case when any_value(d.b) is null then 0 else len(any_value(d.b)) end as bigint) as n_lines, count(s.line) filter (not s.stays) as n_removed,
+       case when any_value(d.b) is not null then sha256(coalesce(string_agg(s.body, chr(10) order by s.line) filter (s.stays), '')) end as text_sha256
+from d left join s on s.doc_id = d.doc_id group by d.doc_id"""
+
 ORACLES: dict[str, str] = {
     "op2_secrets": _op2_sql(),
     "op5_decontaminate": _OP5_SQL,
     "op6_ngram_join": _OP6_SQL,
+    "op7_line_dedup": _OP7_SQL,
 }

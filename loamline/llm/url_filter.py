@@ -20,7 +20,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.common import discard, materialize, small
+from loamline.llm.common import materialize, small
 
 #: (verdict, host, path prefix): fixed values of the filter's base list.
 BASE_RULES = (
@@ -86,14 +86,20 @@ def tokens(url: Column, settings: Settings = Settings()) -> Column:
 
 def mine(labelled: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """rule_id, tokens, verdict, confidence, support, n_tokens from rows of `url`, `verdict` (each row counts)."""
-    rows = labelled.filter("url is not null and verdict is not null")
-    items = rows.select(F.array_append(tokens(F.col("url"), settings), F.concat(F.lit("verdict="), F.col("verdict"))).alias("items")).filter("size(items) > 1")
-    items = materialize(items, "items")
-    n = items.count()
+    rows = labelled.filter("url is not null and verdict is not null").select(F.monotonically_increasing_id().alias("row"), "verdict", tokens(F.col("url"), settings).alias("tokens"))
+    rows = materialize(rows.filter("size(tokens) > 0"), "labelled")
+    n = rows.count()
+    least = max(settings.least_support, settings.least_rows / max(n, 1))
+    # tokens of the very same rows say the same, and only multiply the combinations: the first by name stands for all.
+    # A row has few tokens, so those above the support are bounded by it, whatever the rows
+    each = rows.select("row", "verdict", F.explode("tokens").alias("token"))
+    mark = F.sum(F.xxhash64("row").cast("decimal(38,0)"))
+    told = each.groupBy("token").agg(F.count("*").alias("n"), mark.alias("mark")).filter(F.col("n") >= least * n).groupBy("n", "mark").agg(F.min("token").alias("token")).select("token")
+    items = each.join(small(materialize(told, "tokens")), "token").groupBy("row").agg(F.collect_set("token").alias("tokens"), F.first("verdict").alias("verdict"))
+    items = materialize(items.select(F.array_append("tokens", F.concat(F.lit("verdict="), F.col("verdict"))).alias("items")), "items")
     if n < settings.least_rows:
-        discard(items)
         return items.sparkSession.createDataFrame([], "rule_id long, tokens array<string>, verdict string, confidence double, support double, n_tokens int")
-    model = FPGrowth(itemsCol="items", minSupport=max(settings.least_support, settings.least_rows / n), minConfidence=settings.least_confidence).fit(items)
+    model = FPGrowth(itemsCol="items", minSupport=min(least, 1.0), minConfidence=settings.least_confidence).fit(items)
     rules = model.associationRules.filter(F.col("consequent")[0].startswith("verdict=") & ~F.exists("antecedent", lambda x: x.startswith("verdict=")))
     rules = materialize(rules.select(F.sort_array("antecedent").alias("tokens"), F.expr("substring(consequent[0], 9)").alias("verdict"), "confidence", "support"), "mined")
     # a rule says nothing new beside a shorter one of its verdict that is as sure; they share the shorter one's tokens
