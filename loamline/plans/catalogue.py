@@ -259,7 +259,7 @@ _CHAIN = f"""a as (select doc_id, source, lang as sub_domain, case when {_T} <>
   raw is distinct from text or {_TIDY.replace("text", "source", 1)} is distinct from source as sanitized, raw is null or length({_STRIP.format('raw')}) < 50 as was_bad from r),
  d as (select *, row_number() over (partition by case when route = 'clean' then f else 'row:' || doc_id end order by source, doc_id) > 1 as duplicate from c),
  g as (select sub_domain, source, count(*) as n_in, count_if(route = 'clean' and not duplicate) as n_out, count_if(route = 'dropped' and stage = 'anomaly') as struct_dropped, count_if(route = 'flagged') as flagged,
-  count_if(route = 'excluded') as excluded_no_text, count_if(stage = 'language') as lang_dropped, count_if(route = 'clean' and duplicate) as exact_dups, count_if(sanitized) as sanitized,
+  count_if(route = 'excluded') as excluded_no_text, count_if(coalesce(stage, '') = 'language') as lang_dropped, count_if(route = 'clean' and duplicate) as exact_dups, count_if(sanitized) as sanitized,
   count_if(was_bad and sanitized and kind not in ('structural', 'excluded')) as struct_fixed, count_if(false) as pii_records, cast(0 as bigint) as pii_spans, count_if(false) as mapped_text, count_if(false) as translated
   from d group by grouping sets ((sub_domain, source), ()))"""
 
