@@ -9,13 +9,22 @@ from loamline.functions import text
 from loamline.session import table
 
 
+def shingle_hashes(c: Column, k: int) -> Column:
+    """The hash of each k words (of all, if there are fewer), over the words' own hashes."""
+    def of(w: Column) -> Column:
+        several = F.transform(F.sequence(F.lit(1), F.size(w) - k + 1), lambda i: F.xxhash64(F.slice(w, i, F.lit(k))))
+        return F.when(F.size(w) >= k, several).when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<long>"))
+
+    return text.let(F.transform(text.split_words(c), lambda x: F.xxhash64(x)), of)
+
+
 def pairs(df: DataFrame, key: str = "doc_id", c: str = "text", k: int = 5, threshold: float = 0.85) -> DataFrame:
     """a, b, jaccard (a < b) of all pairs of texts at or above the threshold, over k-word shingles.
 
     Shingles are ordered by rarity; two sets that similar share one of the rarest n - ceil(threshold * n) + 1 of each.
     Equal sets are one class until the end, so copies make no pairs of their own before verification.
     """
-    sets = df.select(F.col(key).alias("id"), F.transform(text.shingles(text.split_words(F.col(c)), k), lambda s: F.xxhash64(s)).alias("s"))
+    sets = df.select(F.col(key).alias("id"), shingle_hashes(F.col(c), k).alias("s"))
     sets = sets.filter("size(s) > 0").withColumn("s", F.sort_array(F.array_distinct("s"))).withColumn("class", F.xxhash64("s"))
     members = table(sets.select("id", "class"), "members")
     classes = table(sets.groupBy("class").agg(F.first("s").alias("s")), "classes")

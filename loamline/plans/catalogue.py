@@ -14,6 +14,7 @@ from loamline import config
 from loamline.functions import hazards, html, lang, licence, pii, text, urls
 from loamline.operators import catalog, clean, metrics, neardup, normalize
 from loamline.session import ship
+from loamline.sources import records
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,7 +38,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select("doc_id", "text", "source", F.col("lang").alias("sub_domain"))
+    return records.spread(read(spark, sf_dir, "documents").select("doc_id", "text", "source", F.col("lang").alias("sub_domain")))
 
 
 def rounded(d: DataFrame, digits: int = 6) -> DataFrame:

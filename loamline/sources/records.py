@@ -16,6 +16,13 @@ TEXT_COLUMNS = ("text", "content", "body", "description", "summary", "message")
 PAIRS = (("question", "answer"), ("prompt", "response"), ("instruction", "output"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out over all cores where its files make fewer splits than there are (one large row group is one task);
+    a table of many splits stays as it lies."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def json_lines(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Records of JSON lines under path. Blank lines are skipped; a line that isn't an object has _parse_error.
 
