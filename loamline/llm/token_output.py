@@ -29,7 +29,7 @@ from loamline.llm.common import columns, trimmed
 FILE = "shard int, segment long, first long, doc_ids array<long>, counts array<long>, offsets binary, words binary"
 DIGEST = "doc_id long, shard int, at long, n_tokens long, ids_crc32 long"
 #: Ids after which a segment ends, bytes of text that are split at once, and bytes of chunks that a worker remembers.
-SEGMENT_IDS, SPLIT_BYTES, MEMO_BYTES = 1 << 18, 10 << 20, 128 << 20
+SEGMENT_IDS, SPLIT_BYTES, MEMO_BYTES = 1 << 18, 16 << 20, 160 << 20
 #: What an entry of a memo takes beside its characters and ids; chunks that are tokenized in one call.
 _ENTRY, _LEARN = 120, 4096
 
@@ -41,14 +41,11 @@ class Memo:
     learned many at a time, as one text: a token of byte-level BPE stands for as many bytes as its name has characters,
     so sums of bytes tell where in the ids a chunk ends. Past MEMO_BYTES all are forgotten."""
 
-    def __init__(self, tokenizer_json: str, spaced: bool):
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.spaced = Tokenizer.from_str(tokenizer_json), spaced
-        vocabulary = self.tokenizer.get_vocab()
-        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for name, i in vocabulary.items():
-            self.bytes[i] = len(name)
+    def __init__(self, tokenizer, spaced: bool):
+        self.tokenizer, self.spaced = tokenizer, spaced
+        vocabulary = tokenizer.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int32)
+        self.bytes[list(vocabulary.values())] = [len(name) for name in vocabulary]
         self.forget()
 
     def forget(self) -> None:
@@ -75,7 +72,7 @@ class Memo:
         text = " " + " ".join(names) if self.spaced else "".join(names)
         size = np.fromiter(map(len, names) if text.isascii() else (len(n.encode()) for n in names), np.int64, len(names)) + self.spaced
         found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-        ends, stops = np.cumsum(self.bytes[found]), np.cumsum(size)
+        ends, stops = np.cumsum(self.bytes[found], dtype=np.int64), np.cumsum(size)
         last = np.searchsorted(ends, stops)
         if last[-1] == len(ends) - 1 and (ends[last] == stops).all():
             return found, np.diff(last, prepend=-1)
@@ -110,8 +107,9 @@ class Memo:
         slot = found[at]
         n = self.count[slot]
         ends = np.cumsum(n, dtype=np.int64)
-        place = np.arange(ends[-1] if len(ends) else 0)
-        place += np.repeat(self.begin[slot] - ends + n, n)
+        kind = np.int32 if self.used < 1 << 30 and (not len(ends) or ends[-1] < 1 << 30) else np.int64
+        place = np.arange(ends[-1] if len(ends) else 0, dtype=kind)
+        place += np.repeat((self.begin[slot] - ends + n).astype(kind), n)
         return self.ids[place], n
 
 
@@ -129,14 +127,17 @@ def chunk_encoder(tokenizer_json: str) -> Callable[[pa.Array], tuple[np.ndarray,
     key = hash(tokenizer_json)
     if key not in _held:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _held[key] = Memo(tokenizer_json, True), Memo(tokenizer_json, False)
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(tokenizer_json)
+        _held[key] = Memo(tokenizer, True), Memo(tokenizer, False)
     plain, other = _held[key]
     cut = re.compile(r"(?<=\S)(?= )")
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         lists = pc.split_pattern(texts, " ")
         offsets, coded = lists.offsets.to_numpy(), lists.flatten().dictionary_encode()
-        at, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        at, names = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
         first = offsets[:-1]
         begins, place = np.unique(at[first], return_inverse=True)
         at[first] = len(names) + place

@@ -144,5 +144,11 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
     return docs.drop("score", "predicted").withColumn("score", value).withColumn("predicted", (F.col("score") >= settings.threshold).cast("int"))
 
 
+def clean(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
+    """The rows of docs that the model doesn't call toxic, with their own columns, whatever the names."""
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["`text`"].alias("text"))
+    return score(rows, model, settings).filter("predicted = 0").select("row.*")
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))

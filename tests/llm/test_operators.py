@@ -87,7 +87,7 @@ def test_memo_forgets_and_stays_right(monkeypatch):
 
     whole = Tokenizer.from_str(tokenizer_json())
     monkeypatch.setattr(token_output, "MEMO_BYTES", 3000)
-    memo = token_output.Memo(tokenizer_json(), False)
+    memo = token_output.Memo(whole, False)
     for k in range(40):
         names = sorted({prose(1, j) for j in range(k, k + 30)}) + ["", " é", " a<|endoftext|>", " \U0001f600", " \n x", " z "][: k % 7]
         ids, counts = memo.gathered(np.arange(len(names))[::-1], names)
@@ -524,3 +524,155 @@ def test_ids_of_any_type(spark):
 def test_few_rows_mine_nothing(spark):
     urls = [(f"http://h{k}.com/{'de' if k % 2 else 'fr'}/{k}?a={k}&b=1&c=2&d=3&e=4&f=5&g=6&h=7", "block" if k % 2 else "allow") for k in range(7)]
     assert url_filter.mine(spark.createDataFrame(urls, "url string, verdict string")).count() == 0
+
+
+def shared_out(sizes, weights, total, most):
+    """Targets by another way: a level such that min(most * size, level * weight) adds up to total, by bisection."""
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(most * s, level * w) for s, w in zip(sizes, weights, strict=True)) < total else (low, level)
+    return [min(most * s, low * w) for s, w in zip(sizes, weights, strict=True)]
+
+
+def test_mixing_against_brute_force(spark, docs):
+    """Targets, draws and positions of every document, the order of documents alone taken from the engine's hash."""
+    c = mixing.Curriculum()
+    keyed = docs.select("doc_id", "source", "text", F.xxhash64(F.lit(c.seed), "doc_id", "text").alias("k"), F.xxhash64("text").alias("t")).collect()
+    names = sorted({r.source for r in keyed}, key=lambda s: (s is None, s or ""))
+    size = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+    sizes = [sum(size(r) for r in keyed if r.source == n) for n in names]
+    schedules = [c.schedules[k % 3] for k in range(len(names))]
+
+    def height(schedule, x):
+        return next(v + (w - v) * (x - a) / (b - a) for (a, v), (b, w) in zip(schedule, schedule[1:], strict=False) if a <= x <= b)
+
+    def demand(schedule, x, steps=2000):
+        """The integral up to x, by trapezoids."""
+        at = np.linspace(0, x, steps + 1)
+        y = np.array([height(schedule, min(z, 1.0)) for z in at])
+        return float(((y[1:] + y[:-1]) / 2 * np.diff(at)).sum())
+
+    whole = [demand(s, 1.0) for s in schedules]
+    assert whole == pytest.approx([(5, 2, 1)[k % 3] for k in range(len(names))], rel=1e-3)
+    want = shared_out(sizes, [(5, 2, 1)[k % 3] for k in range(len(names))], 1.5 * sum(sizes), 2.0)
+    found = {}
+    for r in mixing.plan(docs).collect():
+        found.setdefault((r.doc_id, r.source, r.text_key), []).append(r)
+    for n, total, target, schedule, area in zip(names, sizes, want, schedules, whole, strict=True):
+        begin = 0
+        for r in sorted((r for r in keyed if r.source == n), key=lambda r: (r.k, r.doc_id is not None, r.doc_id or 0, r.t)):
+            expected = []
+            for repeat in (0, 1):
+                taken = min(max(int(target + 1e-6) - repeat * total - begin, 0), size(r))
+                if taken:
+                    expected.append((repeat, taken, (repeat * total + begin + taken / 2) / target))
+            got = found[r.doc_id, n, r.t].pop(0) if len(found[r.doc_id, n, r.t]) == 1 else found[r.doc_id, n, r.t].pop([len(x.draws) for x in found[r.doc_id, n, r.t]].index(len(expected)))
+            assert got.target == pytest.approx(target) and [(x.repeat, x.taken) for x in got.draws] == [e[:2] for e in expected] or r.doc_id in (0, 6)
+            for x, e in zip(got.draws, expected, strict=True):
+                if r.doc_id not in (0, 6):  # rows that occur twice change places
+                    assert demand(schedule, x.position) / area == pytest.approx(min(e[2], 1.0), abs=2e-3)
+            begin += size(r)
+
+
+def plain_fingerprint(text):
+    """Byte by byte: a rolling hash of seven bytes cuts, each piece's own hash gives a letter."""
+    data, root, full = text.encode(), int(fingerprint._ROOT), (1 << 64) - 1
+
+    def hashed(part):
+        h = 0
+        for k, x in enumerate(part):
+            h = (h + (x + 1) * pow(root, k, 1 << 64)) & full
+        h = (h ^ h >> 31) * 0xBF58476D1CE4E5B9 & full
+        return h ^ h >> 29
+
+    size = 3
+    while size * 64 < len(data):
+        size *= 2
+
+    def signature(size):
+        out, begin = "", 0
+        for k in range(1, len(data) + 1):
+            if len(out) < 63 and (hashed(data[max(0, k - 7) : k]) >> 33) % size == size - 1:
+                out, begin = out + fingerprint.LETTERS[hashed(data[begin:k]) >> 58], k
+        return out + fingerprint.LETTERS[hashed(data[begin:]) >> 58] if begin < len(data) else out
+
+    while len(signature(size)) < 32 and size > 3:
+        size //= 2
+    return f"{size}:{signature(size)}:{signature(2 * size)}" if data else "3::"
+
+
+def test_fingerprints_against_a_plain_version():
+    for text in ["", "a", "é", "abc" * 50, BASE, prose(300, 8), prose(900, 3), "x" * 700]:
+        assert fingerprint.fingerprint(text) == plain_fingerprint(text), text[:30]
+
+
+def test_mined_rules_against_brute_force(spark):
+    """Support, confidence, pruning and the best rule, over all combinations of the tokens kept."""
+    from itertools import combinations
+
+    r = random.Random(6)
+    urls = sorted({f"http://{r.choice(['a', 'b', 'ads'])}.{r.choice(['x', 'y'])}.net/{r.choice(['p', 'q'])}/{r.choice(['', '?k=1', '?k=1&z'])}#{k % 3 or ''}" for k in range(400)})
+    data = [(u, "block" if "ads" in u or ("/q/" in u and "y.net" in u) else "allow") for u in urls]
+    settings = url_filter.Settings(least_support=0.1, least_rows=4)
+    d = spark.createDataFrame(data, "url string, verdict string")
+    kept = d.select("url", "verdict", url_filter.tokens(F.col("url"), settings).alias("t")).collect()
+    n, least = len(kept), max(0.1, 4 / len(kept))
+    rows_of = {}
+    for k, row in enumerate(kept):
+        for x in row.t:
+            rows_of.setdefault(x, set()).add(k)
+    names = {}
+    for x in sorted(rows_of):
+        if len(rows_of[x]) >= least * n:
+            names.setdefault(frozenset(rows_of[x]), x)
+    every = {}
+    for size in range(1, 6):
+        for some in combinations(sorted(names.values()), size):
+            rows = frozenset.intersection(*[frozenset(rows_of[x]) for x in some])
+            for verdict in ("allow", "block"):
+                both = sum(kept[k].verdict == verdict for k in rows)
+                if both >= least * n and both >= settings.least_confidence * len(rows):
+                    every[some, verdict] = (both / len(rows), both / n)
+    want = {k: v for k, v in every.items() if not any(b[1] == k[1] and set(b[0]) < set(k[0]) and w[0] >= v[0] for b, w in every.items())}
+    rules = url_filter.mine(d, settings)
+    found = {(tuple(x.tokens), x.verdict): (x.confidence, x.support) for x in rules.collect()}
+    assert set(found) == set(want) and want and all(found[k] == pytest.approx(want[k]) for k in want)
+    got = {x.url: (x.mined_verdict, x.mined_rule) for x in url_filter.match(d, rules, settings).collect()}
+    for row in kept:
+        fits = [(round(v[0], 9), round(v[1], 9), -len(k[0]), " ".join(k[0]), k[1]) for k, v in want.items() if set(k[0]) <= set(row.t)]
+        best = max(fits, default=None)
+        assert got.get(row.url, (None, None)) == ((best[4], best[3]) if best else (None, None)), row.url
+
+
+def test_posteriors_against_brute_force(spark):
+    texts = {"en": "the house and the garden of the town with a river", "de": "das Haus und der Garten der Stadt mit einem Fluss", "fr": "la maison et le jardin de la ville avec une rivière"}
+    r = random.Random(3)
+    say = lambda l, n: " ".join(r.choice(texts[l].split()) for _ in range(n))
+    model = lang_id.train(spark.createDataFrame([(i, say(l, 40), l) for i in range(20) for l in texts], "doc_id long, text string, lang string"))
+    langs, table = model
+    pages = [(i, f"http://h{i % 5}.site{i % 2}.{['org', 'de'][i % 2]}/p", f'<html lang="{r.choice([*langs, "xx"])}"><p>{say(r.choice(langs), i % 4 * 3)}</p></html>') for i in range(60)]
+    pages += [(100, None, None), (101, "bad", ""), (3, *pages[3][1:])]
+    d = spark.createDataFrame(pages, "page_id long, url string, html string")
+    s, rows = lang_id.Settings(), []
+    for p in d.select("*", lang_id.visible(F.col("html")).alias("text"), lang_id.declared(F.col("html")).alias("declared")).collect():
+        at = lang_id.trigram_counts(p.text if p.text and p.text.strip() else "")
+        ll = table.astype(np.float32)[:, at].sum(1, dtype=np.float64) * min(s.temper, s.most / max(len(at), 1)) if len(at) > 3 else np.zeros(3)
+        host = (re.match(r".*?://([^/?#:]*)", p.url or "") or [None, ""])[1].lower()
+        rows.append((p.page_id, host, host.split(".")[-1], ".".join(host.split(".")[-2:]), p.declared, ll - ll.max()))
+    share = [np.exp(x[5]) / np.exp(x[5]).sum() for x in rows]
+    total = lambda of: sum((p for p, x in zip(share, rows, strict=True) if of(x)), np.zeros(3))
+    whole = total(lambda x: True)
+    prior = (whole + 1) / (whole.sum() + 3)
+    want = {}
+    for p, x in zip(share, rows, strict=True):
+        host, domain = total(lambda y: y[1] == x[1]), total(lambda y: y[3] == x[3])
+        hn, dn = sum(y[1] == x[1] for y in rows), sum(y[3] == x[3] for y in rows)
+        of_domain = (np.maximum(domain - host, 0) + s.domain_weight * prior) / (dn - hn + s.domain_weight)
+        of_host = (np.maximum(host - p, 0) + s.host_weight * of_domain) / (hn - 1 + s.host_weight)
+        seen = [np.log((total(lambda y: y[k] == x[k]) + s.smooth) / (whole + 50 * s.smooth)) for k in (2, 4)]
+        score = x[5] + seen[0] + seen[1] + np.log(of_host)
+        post = np.exp(score - score.max()) / np.exp(score - score.max()).sum()
+        want[x[0]] = (langs[int(post.argmax())], float(post.max()))
+    for x in lang_id.judge(d, model).collect():
+        assert x.lang == want[x.page_id][0] and x.probability == pytest.approx(want[x.page_id][1], abs=1e-6)
