@@ -71,7 +71,7 @@ def build(df: DataFrame, mapper: str = "generic", written: bool = False) -> Data
         "license": F.coalesce(col("license"), F.lit("")), "origin_format": text.origin_format(file), "lang": F.when(lang.detect(F.substring(t, 1, 1000)) == "non-latin", "unknown").otherwise("en"),
         "token_count": text.token_count(t).cast("long"), "char_count": F.length(t).cast("long"), "pipeline_version": F.lit(VERSION),
         "collected_at": F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"), "source_file": file,
-        "record_type": text.record_type(file, col("source")), "domain_label": F.lit(ABSTAIN), "domain_name": col("domain_name"), "subdomain_label": F.lit(ABSTAIN),
+        "record_type": known_kind(text.record_type(file, col("source"))), "domain_label": F.lit(ABSTAIN), "domain_name": col("domain_name"), "subdomain_label": F.lit(ABSTAIN),
         "subdomain_name": col("subdomain_name"), "safe_unsafe": col("safe_unsafe"), "confidence": col("confidence").cast("double"), "instruction": col("instruction"), "reviewed_by": col("reviewed_by"),
     }
     return df.withColumn("record", F.struct(*[values[f].alias(f) for f in FIELDS])).drop("_mapped")
@@ -98,7 +98,7 @@ def known_kind(c: Column) -> Column:
     return F.when(c.isin(*RECORD_KINDS), c).otherwise("other")
 
 
-def hard_pause(df: DataFrame, rejected: Column, by: str, order: list[str], limit: int = 20, block_rows: int = 4096) -> DataFrame:
+def hard_pause(df: DataFrame, rejected: Column, by: str, order: list[str], limit: int = 20) -> DataFrame:
     """df with `paused`: `limit` rejects of the source came before, by order.
 
     Only rejects are ordered: the limit-th reject of a source is found among at most `limit` of each block (a hash of
