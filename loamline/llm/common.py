@@ -67,12 +67,10 @@ def trimmed(of: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator
 
     def run(batches: Iterator) -> Iterator:
         import ctypes
-        import gc
 
         import pyarrow as pa
 
         yield from of(batches)
-        gc.collect()
         pa.default_memory_pool().release_unused()
         try:
             ctypes.CDLL(None).malloc_trim(0)

@@ -29,7 +29,7 @@ from loamline.llm.common import columns, trimmed
 FILE = "shard int, segment long, first long, doc_ids array<long>, counts array<long>, offsets binary, words binary"
 DIGEST = "doc_id long, shard int, at long, n_tokens long, ids_crc32 long"
 #: Ids after which a segment ends, bytes of text that are split at once, and bytes of chunks that a worker remembers.
-SEGMENT_IDS, SPLIT_BYTES, MEMO_BYTES = 1 << 18, 16 << 20, 160 << 20
+SEGMENT_IDS, SPLIT_BYTES, MEMO_BYTES = 1 << 18, 16 << 20, 192 << 20
 #: What an entry of a memo takes beside its characters and ids; chunks that are tokenized in one call.
 _ENTRY, _LEARN = 120, 4096
 
@@ -39,10 +39,10 @@ _held: dict = {}
 class Memo:
     """Ids of chunks by key; keys of a `spaced` memo are chunks without their space, first chunks have one. Chunks that begin with a space and end without white space are
     learned many at a time, as one text: a token of byte-level BPE stands for as many bytes as its name has characters,
-    so sums of bytes tell where in the ids a chunk ends. Past MEMO_BYTES all are forgotten."""
+    so sums of bytes tell where in the ids a chunk ends. Past `most` bytes all are forgotten."""
 
-    def __init__(self, tokenizer, spaced: bool):
-        self.tokenizer, self.spaced = tokenizer, spaced
+    def __init__(self, tokenizer, spaced: bool, most: int | None = None):
+        self.tokenizer, self.spaced, self.most = tokenizer, spaced, most or MEMO_BYTES
         vocabulary = tokenizer.get_vocab()
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int32)
         self.bytes[list(vocabulary.values())] = [len(name) for name in vocabulary]
@@ -59,7 +59,8 @@ class Memo:
         return found, [names[k] for k in np.flatnonzero(found < 0)]
 
     def learn(self, names: list[str]) -> None:
-        inner = [(n[:1] != " ") == self.spaced and n != "" and not n[-1].isspace() for n in names]
+        lead = not self.spaced
+        inner = [(n[:1] == " ") is lead and n[-1:].strip() != "" for n in names]
         for joined in (True, False):
             own = list(compress(names, inner)) if joined else [n for n, j in zip(names, inner, strict=True) if not j]
             for k in range(0, len(own), _LEARN):
@@ -98,7 +99,7 @@ class Memo:
     def gathered(self, at: np.ndarray, names: list[str], told: tuple[np.ndarray, list[str]] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the chunks names[at], one after another, and each chunk's number of ids."""
         found, new = told or self.slots(names)
-        if new and self.size > MEMO_BYTES:
+        if new and self.size > self.most:
             self.forget()
             found, new = np.full(len(names), -1), names
         if new:
@@ -118,19 +119,19 @@ def _per_document(n: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def chunk_encoder(tokenizer_json: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+def chunk_encoder(tokenizer_json: str, memo: int | None = None) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """Encodes texts chunk by chunk: all their ids, and each text's number of ids. A space after a character that is
     not white space always begins a pre-token of byte-level BPE, so the ids of a text are those of its chunks, cut
-    there; a batch's distinct chunks are looked up once, and each worker remembers chunks up to MEMO_BYTES. Texts
+    there; a batch's distinct chunks are looked up once, and each worker remembers chunks up to `memo` bytes. Texts
     without white space before a space are split plainly: a chunk's key is what follows its space, the first chunk's
     has a space before it. In other texts chunks are their own keys, in a memo apart."""
-    key = hash(tokenizer_json)
+    key = hash((tokenizer_json, memo))
     if key not in _held:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(tokenizer_json)
-        _held[key] = Memo(tokenizer, True), Memo(tokenizer, False)
+        _held[key] = Memo(tokenizer, True, memo), Memo(tokenizer, False, memo)
     plain, other = _held[key]
     cut = re.compile(r"(?<=\S)(?= )")
 
@@ -180,12 +181,12 @@ def _slices(texts: pa.Array) -> Iterator[slice]:
         low = high
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = 2) -> None:
-    """Writes the token file of docs' `text` at path."""
+def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = 2, memo: int | None = None) -> None:
+    """Writes the token file of docs' `text` at path. memo: bytes of chunks that a worker remembers (MEMO_BYTES)."""
     told = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard = chunk_encoder(told.value), TaskContext.get().partitionId()
+        encode, shard = chunk_encoder(told.value, memo), TaskContext.get().partitionId()
         ids: list[np.ndarray] = []
         names: list[pa.Array] = []
         counts: list[np.ndarray] = []
