@@ -58,7 +58,8 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     In ascending doc_id, null first, then by text; each draw is a document of its own; a null text is the end id alone."""
     ship(spark)
     path = new_path(spark, "tokens")
-    token_output.write_tokens(docs, path, tokenizer_json())
+    # workers hold what the stages before have left them, too
+    token_output.write_tokens(docs, path, tokenizer_json(), memo=160 << 20)
     return token_output.read_digests(spark, path)
 
 
