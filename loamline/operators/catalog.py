@@ -109,10 +109,10 @@ def code(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.upper(c), "[^A-Z0-9]+", "_"), "^_+|_+$", "")
 
 
-def codes(names: DataFrame, c: str = "name") -> DataFrame:
-    """Names with codes; a code taken by an earlier name gets _2, _3 ..."""
+def codes(names: DataFrame, c: str = "name", order: str | None = None) -> DataFrame:
+    """Names with codes; a code taken by an earlier name (by `order`, else by name) gets _2, _3 ..."""
     d = names.withColumn("_c", code(F.col(c)))
-    n = F.row_number().over(Window.partitionBy("_c").orderBy(c))
+    n = F.row_number().over(Window.partitionBy("_c").orderBy(order or c))
     return d.withColumn("code", F.when(n > 1, F.concat("_c", F.lit("_"), n.cast("string"))).otherwise(F.col("_c"))).drop("_c")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loamline import config
 from loamline.functions import hazards, html, lang, licence, pii, text, urls
-from loamline.operators import catalog, clean, metrics, neardup, normalize
+from loamline.operators import catalog, clean, metrics, neardup, normalize, runs
 from loamline.session import ship
 from loamline.sources import records
 
@@ -213,12 +213,12 @@ def last_wins(spark, sf_dir):
     return clean.last_wins(corpus(spark, sf_dir), ["source"], ["doc_id"]).select("source", "doc_id")
 
 
-@query(f"""with k as (select distinct {_FP} as f from documents where doc_id % 2 = 0) select doc_id from documents where doc_id % 2 = 1 and {_FP} not in (select f from k)""")
+@query(f"""with k as (select distinct {_FP} as f from documents where lang = 'en') select doc_id from documents where {_FP} not in (select f from k)""")
 def resume_by_journal(spark, sf_dir):
-    """What the second half of a corpus adds to a journal of the first (halves by parity are the operator's two inputs)."""
+    """What the corpus adds to a journal that has its English part."""
     d = corpus(spark, sf_dir)
     fp = text.exact_fingerprint(F.col("text"))
-    return clean.not_in_journal(d.filter("doc_id % 2 = 1"), fp, d.filter("doc_id % 2 = 0").select(fp.alias("fingerprint"))).select("doc_id")
+    return clean.not_in_journal(d, fp, d.filter("sub_domain = 'en'").select(fp.alias("fingerprint"))).select("doc_id")
 
 
 def _cleaned(spark, sf_dir) -> DataFrame:
@@ -333,14 +333,15 @@ def topic_cv(spark, sf_dir):
     return rounded(metrics.topic_cv(corpus(spark, sf_dir)))
 
 
-_HALF = "select lang as sub_domain, count(*) / sum(count(*)) over () as s from documents where doc_id % 2 = {0} group by 1"
+_SHARES = "select lang as sub_domain, count(*) / sum(count(*)) over () as s from documents {0} group by 1"
 
 
-@query(f"""with a as ({_HALF.format(0)}), b as ({_HALF.format(1)}) select coalesce(a.sub_domain, b.sub_domain) as sub_domain, round(coalesce(a.s, 0), 6) as share_now,
+@query(f"""with a as ({_SHARES.format('')}), b as ({_SHARES.format('join labels using (doc_id)')}) select coalesce(a.sub_domain, b.sub_domain) as sub_domain, round(coalesce(a.s, 0), 6) as share_now,
  round(coalesce(b.s, 0), 6) as share_before, round(abs(coalesce(a.s, 0) - coalesce(b.s, 0)), 6) as delta from a full join b on a.sub_domain = b.sub_domain""")
 def distribution_drift(spark, sf_dir):
+    """From the labelled documents to all."""
     d = corpus(spark, sf_dir)
-    return rounded(metrics.drift(metrics.volume(d.filter("doc_id % 2 = 0")), metrics.volume(d.filter("doc_id % 2 = 1"))))
+    return rounded(metrics.drift(metrics.volume(d), metrics.volume(d.join(read(spark, sf_dir, "labels").select("doc_id"), "doc_id"))))
 
 
 _STRICT = config.Gate(max_source_share=0.05, max_topic_cv=0.1, min_subdomain_share=0.2, max_dup_rate=0.01)
@@ -480,10 +481,10 @@ def url_category(spark, sf_dir):
 
 
 @query(f"""with p as (select page_id, regexp_replace(regexp_extract(lower(trim(url)), '(?s)^(?:[^/?#]*?://|//)?([^/?#]*)', 1), '^www\\.', '') || regexp_replace(lower({_PATH}), '/+$', '') as link from pages)
-select page_id from p where page_id % 2 = 1 and link not in (select link from p where page_id % 2 = 0)""")
+select page_id from p where link not in (select link from p where page_id in (select page_id from pages where url like 'https%'))""")
 def catalog_anti_join(spark, sf_dir):
     d = read(spark, sf_dir, "pages").select("page_id", "url")
-    return catalog.new_links(d.filter("page_id % 2 = 1"), d.filter("page_id % 2 = 0")).select("page_id")
+    return catalog.new_links(d, d.filter(F.col("url").startswith("https"))).select("page_id")
 
 
 @query(f"""with h as (select {_HOST} as host from pages), d as (select host, unnest(list_transform(generate_series(1, len(string_split(host, '.'))), lambda k: array_to_string(string_split(host, '.')[k:], '.'))) as domain from h)
@@ -680,4 +681,5 @@ def data_funnel(spark, sf_dir):
 
 @query("select l_returnflag as source, l_linestatus as name, count(*) as files, round(sum(l_quantity), 6) as mb from lineitem group by 1, 2")
 def raw_table(spark, sf_dir):
-    return rounded(read(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("source"), F.col("l_linestatus").alias("name")).agg(F.count("*").alias("files"), F.sum("l_quantity").alias("mb")))
+    d = read(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("source"), F.col("l_linestatus").alias("name"), (F.col("l_quantity") * runs.MB).alias("length"))
+    return rounded(runs.file_table(d, ["source", "name"]))
