@@ -22,14 +22,28 @@ import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from loamline.llm.common import columns, discard, materialize, small
 
 PERCENT, BUCKETS = 80, 1 << 16
 
 
+def plain(text: Column) -> Column:
+    """Lower-cased text whose white space is spaces and line ends; few texts have any other, so few are rewritten."""
+    low, other = F.lower(text), r"[\s\p{Z}&&[^ \n]]"
+    return F.when(low.rlike(other), F.regexp_replace(low, other, " ")).otherwise(low)
+
+
 def line_words(line: Column) -> Column:
-    return F.sort_array(F.array_remove(F.array_distinct(F.split(F.lower(line), r"[\s\p{Z}]+")), ""))
+    """The distinct words of a line of plain text, sorted."""
+    return F.sort_array(F.array_remove(F.array_distinct(F.split(line, " ")), ""))
+
+
+def place(doc_id: str) -> Column:
+    """The column of ids as numbers in the ids' order, null first; different ids may share one."""
+    head = F.rpad(F.substring(F.hex(F.encode(F.col(doc_id).cast("string"), "utf-8")), 1, 14), 14, "0")
+    return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(-1))
 
 
 def needed(n: Column, percent: int) -> Column:
@@ -39,12 +53,18 @@ def needed(n: Column, percent: int) -> Column:
 def lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, line (from 0), words, class of each line with words; each distinct document once."""
     d = columns(docs, "doc_id", "text")
-    d = d.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n", -1)).alias("line", "body"))
+    d = d.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split(plain(F.col("text")), "\n", -1)).alias("line", "body"))
+    # blank lines go by their text, since a condition on the words would work them out twice;
     # one string: an array of short strings takes three times the room in a shuffle
-    d = d.select("doc_id", "text_key", "line", F.array_join(line_words(F.col("body")), " ").alias("words")).filter("words != ''")
+    d = d.filter(F.trim("body") != "").select("doc_id", "text_key", "line", F.array_join(line_words(F.col("body")), " ").alias("words"))
     return d.select("doc_id", "text_key", "line", "words", F.xxhash64("words").alias("class"))
 
 
+def not_text(each: DataFrame) -> bool:
+    """Whether the ids are whole numbers, which place() needn't cut."""
+    return isinstance(each.schema["first"].dataType["doc_id"].dataType, IntegralType)
+
+
 def classes(found: DataFrame) -> DataFrame:
     """class, first (doc_id, text_key, line of its first line), words."""
     return found.groupBy("class").agg(F.min(F.struct("doc_id", "text_key", "line")).alias("first"), F.first("words").alias("words"))
@@ -61,22 +81,25 @@ def rarity(each: DataFrame) -> Column:
 
 
 def prefixes(each: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """class, doc_id, line, n, sketch, prefix: the codes of its rarest words. A code is a word's rank and hash; words of
+    """class, place, line, n, sketch, prefix: the codes of its rarest words; place and line are those of its first line. A code is a word's rank and hash; words of
     one code only add candidates."""
     rank = rarity(each)
     coded = lambda h: F.shiftleft(F.get(rank, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), 48).bitwiseOR(F.shiftrightunsigned(h, 16))
-    each = each.select("class", "first", F.transform(F.split("words", " "), lambda w: F.xxhash64(w)).alias("hashes"))
+    each = each.withColumn("doc_id", F.col("first.doc_id"))
+    at = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))) if not_text(each) else place("doc_id")
+    each = each.select("class", at.alias("place"), F.col("first.line").alias("line"), F.transform(F.split("words", " "), lambda w: F.xxhash64(w)).alias("hashes"))
     parity = F.aggregate("hashes", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))))
     n = F.size("hashes")
     return each.select(
-        "class", F.col("first.doc_id").alias("doc_id"), F.col("first.line").alias("line"), n.alias("n"), parity.alias("sketch"),
+        "class", "place", "line", n.alias("n"), parity.alias("sketch"),
         F.slice(F.sort_array(F.transform("hashes", coded)), 1, n - needed(n, percent) + 1).alias("prefix"),
     )
 
 
 def fits(a: str, b: str, percent: int) -> Column:
-    """Whether two entries (columns n, at, sketch by these prefixes) of one list may be of classes that link."""
-    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    """Whether two entries (columns n, at, sketch by these prefixes; the sign of n is
+    no part of it) of one list may be of classes that link."""
+    n, m = F.abs(F.col(f"{a}n")), F.abs(F.col(f"{b}n"))
     least = F.ceil((n + m) * percent / (100 + percent))
     sized = F.least(n, m) * 100 >= F.greatest(n, m) * percent
     placed = F.least(n - F.col(f"{a}at"), m - F.col(f"{b}at")) >= least
@@ -85,34 +108,37 @@ def fits(a: str, b: str, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, each: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose Jaccard similarity is at least percent and of which a comes first."""
+    """The pairs (a, b, of sizes na, nb) of classes whose Jaccard similarity is at least percent and of which a comes first."""
     of = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     words = each.join(small(materialize(of, "involved")), "class", "left_semi")
     side = lambda x: words.select(F.col("class").alias(x), F.col("words").alias(f"w{x}"), F.col("first").alias(f"f{x}"))
     met = pairs.join(side("a"), "a").join(side("b"), "b")
-    wa, wb = F.split("wa", " "), F.split("wb", " ")
-    common = F.size(F.array_intersect(wa, wb))
-    return met.filter((F.col("fa") < F.col("fb")) & (common * 100 >= (F.size(wa) + F.size(wb) - common) * percent)).select("a", "b")
+    common = F.size(F.array_intersect(F.split("wa", " "), F.split("wb", " ")))
+    # common * 100 >= (na + nb - common) * percent, in which the costly side stands once
+    return met.filter((F.col("fa") < F.col("fb")) & (common * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)).select("a", "b")
 
 
 def linked(each: DataFrame, percent: int = PERCENT) -> DataFrame:
     """class: those that an earlier class links to."""
     told = materialize(prefixes(each, percent), "prefixes")
-    entries = told.select("class", "doc_id", "line", "n", "sketch", F.posexplode("prefix").alias("at", "word"))
-    heads = entries.groupBy("word").agg(F.min(F.struct("doc_id", "line", "class", "n", "at", "sketch")).alias("head"), F.max("class").alias("last"), F.min("class").alias("least"))
-    heads = heads.filter("least < last").select("word", F.col("head.class").alias("a"), F.col("head.n").alias("an"), F.col("head.at").alias("aat"), F.col("head.sketch").alias("asketch"))
-    near = entries.join(heads, "word").filter((F.col("class") != F.col("a")) & fits("", "a", percent)).select("a", F.col("class").alias("b")).distinct()
+    entries = told.select("class", "place", "line", "n", "sketch", F.posexplode("prefix").alias("at", "word"))
+    # any entry may be the head, an early one settles most; numbers of fixed width keep the aggregation in hash tables
+    early = F.col("place").cast("double") * (1 << 20) + F.col("line")
+    heads = entries.groupBy("word").agg(*[F.min_by(c, early).alias(f"a{c}") for c in ("class", "n", "at", "sketch")], F.max("class").alias("last"), F.min("class").alias("least"))
+    heads = heads.filter("least < last").select("word", F.col("aclass").alias("a"), "an", "aat", "asketch")
+    near = entries.join(heads, "word").filter((F.col("class") != F.col("a")) & fits("", "a", percent)).select("a", F.col("class").alias("b"), F.col("an").alias("na"), F.col("n").alias("nb")).distinct()
     near = materialize(near, "head_pairs")
     settled = materialize(verified(near, each, percent).select(F.col("b").alias("class")).distinct(), "settled")
     discard(near)
     done = settled.select("class", F.lit(True).alias("done"))
-    order = F.struct("doc_id", "line").alias("order")
-    flagged = told.join(small(done), "class", "left").select("class", order, "n", "sketch", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("at", "word"))
-    a, b = (flagged.select("word", *[F.col(c).alias(f"{x}{c}") for c in ("class", "order", "n", "sketch", "done", "at")]) for x in "ab")
-    # one condition over both sides: what is settled needn't be met by an earlier class, but both sides are one exchange
-    open_later = F.when(F.col("aorder") <= F.col("border"), ~F.col("bdone")).otherwise(F.lit(False))
-    met = a.join(b, "word").filter(open_later & (F.col("aclass") != F.col("bclass")) & fits("a", "b", percent))
-    pairs = materialize(met.select(F.col("aclass").alias("a"), F.col("bclass").alias("b")).distinct(), "pairs")
+    # settled classes have a negative n: both sides of the join read the same columns, and are one exchange
+    signed = F.when(F.col("done"), -F.col("n")).otherwise(F.col("n")).alias("n")
+    flagged = told.join(small(done), "class", "left").select("class", "place", "line", signed, "sketch", F.posexplode("prefix").alias("at", "word"))
+    a, b = (flagged.select("word", *[F.col(c).alias(f"{x}{c}") for c in ("class", "place", "line", "n", "sketch", "at")]) for x in "ab")
+    # what is settled needn't be met by an earlier class; classes of equal place and line meet both ways
+    later = (F.col("aplace") < F.col("bplace")) | ((F.col("aplace") == F.col("bplace")) & (F.col("aline") <= F.col("bline"))) if not_text(each) else F.col("aplace") <= F.col("bplace")
+    met = a.join(b, "word").filter(later & ((F.col("bn") > 0) | (F.col("an") == 0)) & (F.col("aclass") != F.col("bclass")) & fits("a", "b", percent))
+    pairs = materialize(met.select(F.col("aclass").alias("a"), F.col("bclass").alias("b"), F.abs("an").alias("na"), F.abs("bn").alias("nb")).distinct(), "pairs")
     discard(told)
     out = materialize(verified(pairs, each, percent).select(F.col("b").alias("class")).union(settled).distinct(), "linked")
     discard(pairs, settled)
