@@ -13,6 +13,8 @@ from loamline.session import shared_dir, ship
 
 #: Rows, and bytes as written, of a table that may be broadcast; beyond either the joins shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 16 << 20
+#: Bytes, as shuffled, of a partition that a join may hold in memory; some three times that unpacked.
+HASHED_BYTES = 64 << 20
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -20,18 +22,27 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def short_shuffles(spark: SparkSession) -> Iterator[None]:
-    """What runs inside leaves no shuffle files behind: they go when its last stage has ended, not when the driver
-    happens to collect its garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def set_to(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """What runs inside has this setting of the session."""
     before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def short_shuffles(spark: SparkSession):
+    """What runs inside leaves no shuffle files behind: they go when its last stage has ended, not when the driver
+    happens to collect its garbage."""
+    return set_to(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def hash_joins(spark: SparkSession):
+    """What runs inside joins without sorting where each partition, as it was shuffled, is of at most HASHED_BYTES."""
+    return set_to(spark, "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", str(HASHED_BYTES))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: lineage ends there, lost executors or not."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)

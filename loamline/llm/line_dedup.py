@@ -19,25 +19,33 @@ one array of lines; extra columns, whatever their names, are kept but for text,
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from loamline.llm.common import columns, discard, materialize, small
+from loamline.llm.common import columns, discard, hash_joins, materialize, small
 
 PERCENT, BUCKETS = 80, 1 << 16
 
 
 def plain(text: Column) -> Column:
-    """Lower-cased text whose white space is spaces and line ends; few texts have any other, so few are rewritten."""
+    """Lower-cased text whose white space is spaces and line ends; few texts have any other, so few are rewritten.
+    In ASCII four characters are the others, and looking for each is quicker than an expression."""
     low, other = F.lower(text), r"[\s\p{Z}&&[^ \n]]"
-    return F.when(low.rlike(other), F.regexp_replace(low, other, " ")).otherwise(low)
+    found = F.when(F.octet_length(text) == F.length(text), reduce(or_, [F.contains(text, F.lit(c)) for c in "\t\v\f\r"])).otherwise(text.rlike(other))
+    return F.when(found, F.regexp_replace(low, other, " ")).otherwise(low)
 
 
 def line_words(line: Column) -> Column:
-    """The distinct words of a line of plain text, sorted."""
-    return F.sort_array(F.array_remove(F.array_distinct(F.split(line, " ")), ""))
+    """The distinct words of a line of plain text, as they come."""
+    return F.array_remove(F.array_distinct(F.split(line, " ")), "")
+
+
+def hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def place(doc_id: str) -> Column:
@@ -52,12 +60,14 @@ def needed(n: Column, percent: int) -> Column:
 
 def lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, line (from 0), words, class of each line with words; each distinct document once."""
-    d = columns(docs, "doc_id", "text")
-    d = d.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split(plain(F.col("text")), "\n", -1)).alias("line", "body"))
+    # a text's hash is taken before its lines are told apart, else it would be worked out for each of them
+    d = columns(docs, "doc_id", "text").select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    d = d.select("doc_id", "text_key", F.posexplode(F.split(plain(F.col("text")), "\n", -1)).alias("line", "body"))
     # blank lines go by their text, since a condition on the words would work them out twice;
     # one string: an array of short strings takes three times the room in a shuffle
-    d = d.filter(F.trim("body") != "").select("doc_id", "text_key", "line", F.array_join(line_words(F.col("body")), " ").alias("words"))
-    return d.select("doc_id", "text_key", "line", "words", F.xxhash64("words").alias("class"))
+    d = d.filter(F.trim("body") != "").select("doc_id", "text_key", "line", line_words(F.col("body")).alias("words"))
+    # numbers sort quicker than words, and the hash of the sorted hashes is the set's, whatever the words' order
+    return d.select("doc_id", "text_key", "line", F.array_join("words", " ").alias("words"), F.xxhash64(F.sort_array(hashes(F.col("words")))).alias("class"))
 
 
 def not_text(each: DataFrame) -> bool:
@@ -66,8 +76,9 @@ def not_text(each: DataFrame) -> bool:
 
 
 def classes(found: DataFrame) -> DataFrame:
-    """class, first (doc_id, text_key, line of its first line), words."""
-    return found.groupBy("class").agg(F.min(F.struct("doc_id", "text_key", "line")).alias("first"), F.first("words").alias("words"))
+    """class (a number, which takes less room than the hash once it is written), first (doc_id, text_key, line of its first line), words."""
+    each = found.groupBy("class").agg(F.min(F.struct("doc_id", "text_key", "line")).alias("first"), F.first("words").alias("words"))
+    return each.select(F.monotonically_increasing_id().alias("class"), "first", "words")
 
 
 def rarity(each: DataFrame) -> Column:
@@ -77,17 +88,17 @@ def rarity(each: DataFrame) -> Column:
     table = [0] * BUCKETS
     for r in counts.collect():
         table[r.b] = r.n
-    return F.from_json(F.lit(json.dumps(table)), "array<int>")
+    return F.from_json(F.lit(json.dumps([n << 48 for n in table])), "array<bigint>")
 
 
 def prefixes(each: DataFrame, percent: int = PERCENT) -> DataFrame:
     """class, place, line, n, sketch, prefix: the codes of its rarest words; place and line are those of its first line. A code is a word's rank and hash; words of
     one code only add candidates."""
     rank = rarity(each)
-    coded = lambda h: F.shiftleft(F.get(rank, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), 48).bitwiseOR(F.shiftrightunsigned(h, 16))
+    coded = lambda h: F.get(rank, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 16))
     each = each.withColumn("doc_id", F.col("first.doc_id"))
     at = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))) if not_text(each) else place("doc_id")
-    each = each.select("class", at.alias("place"), F.col("first.line").alias("line"), F.transform(F.split("words", " "), lambda w: F.xxhash64(w)).alias("hashes"))
+    each = each.select("class", at.alias("place"), F.col("first.line").alias("line"), hashes(F.split("words", " ")).alias("hashes"))
     parity = F.aggregate("hashes", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))))
     n = F.size("hashes")
     return each.select(
@@ -96,51 +107,75 @@ def prefixes(each: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def fits(a: str, b: str, percent: int) -> Column:
-    """Whether two entries (columns n, at, sketch by these prefixes; the sign of n is
-    no part of it) of one list may be of classes that link."""
-    n, m = F.abs(F.col(f"{a}n")), F.abs(F.col(f"{b}n"))
-    least = F.ceil((n + m) * percent / (100 + percent))
+def alike(n: Column, m: Column, a: Column, b: Column, percent: int) -> Column:
+    """Whether classes of n and m words, of the sketches a and b, may link."""
     sized = F.least(n, m) * 100 >= F.greatest(n, m) * percent
-    placed = F.least(n - F.col(f"{a}at"), m - F.col(f"{b}at")) >= least
-    alike = F.bit_count(F.col(f"{a}sketch").bitwiseXOR(F.col(f"{b}sketch"))) <= n + m - 2 * least
-    return sized & placed & alike
+    return sized & (F.bit_count(a.bitwiseXOR(b)) <= n + m - 2 * shared(n, m, percent))
+
+
+def shared(n: Column, m: Column, percent: int) -> Column:
+    """The words that classes of n and m words have in common at least, if they link."""
+    return F.ceil((n + m) * percent / (100 + percent))
 
 
 def verified(pairs: DataFrame, each: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, of sizes na, nb) of classes whose Jaccard similarity is at least percent and of which a comes first."""
-    of = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    words = each.join(small(materialize(of, "involved")), "class", "left_semi")
+    """class: of the pairs (a, b) of classes whose Jaccard similarity is at least percent, the one that comes later."""
+    of = materialize(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "involved")
+    words = materialize(each.join(small(of), "class", "left_semi"), "words")
     side = lambda x: words.select(F.col("class").alias(x), F.col("words").alias(f"w{x}"), F.col("first").alias(f"f{x}"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b")
-    common = F.size(F.array_intersect(F.split("wa", " "), F.split("wb", " ")))
+    met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "fa", "fb", F.split("wa", " ").alias("wa"), F.split("wb", " ").alias("wb"))
     # common * 100 >= (na + nb - common) * percent, in which the costly side stands once
-    return met.filter((F.col("fa") < F.col("fb")) & (common * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)).select("a", "b")
+    met = met.filter(F.size(F.array_intersect("wa", "wb")) * (100 + percent) >= (F.size("wa") + F.size("wb")) * percent)
+    out = materialize(met.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("class")).distinct(), "verified")
+    discard(of, words)
+    return out
+
+
+def head_pairs(told: DataFrame, percent: int) -> DataFrame:
+    """a, b: each class with the earliest of lists that it stands in, where they may link. A class stands in the lists of
+    some words of its prefix, those of the lowest hashes, which near copies mostly share."""
+    hashed = F.sort_array(F.transform("prefix", lambda c: c.bitwiseAND(F.lit((1 << 48) - 1))))
+    # any class may be the head, an early one settles most; numbers of fixed width keep the aggregation in hash tables
+    early = F.col("place").cast("double") * (1 << 20) + F.col("line")
+    entries = told.select("class", early.alias("early"), "n", "sketch", F.explode(F.slice(hashed, 1, F.lit(2) + F.ceil(F.size("prefix") / 5).cast("int"))).alias("word"))
+    heads = entries.groupBy("word").agg(*[F.min_by(c, "early").alias(f"a{c}") for c in ("class", "n", "sketch")], F.count("*").alias("many"))
+    heads = heads.filter("many > 1").select("word", F.col("aclass").alias("a"), "an", "asketch")
+    near = entries.select("word", "class", "n", "sketch").join(heads, "word")
+    return near.filter((F.col("class") != F.col("a")) & alike(F.col("n"), F.col("an"), F.col("sketch"), F.col("asketch"), percent)).select("a", F.col("class").alias("b")).distinct()
+
+
+def list_pairs(told: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """a, b: all pairs of a list that may link, of which the later isn't settled."""
+    done = F.when(F.col("done"), 1).otherwise(0)
+    flagged = told.join(small(settled.select("class", F.lit(True).alias("done"))), "class", "left")
+    # both sides of the join read the same columns, few and packed (size, place in the prefix, whether settled), and are one exchange
+    flagged = flagged.select("class", "place", "sketch", "n", done.alias("done"), F.posexplode("prefix").alias("at", "word"))
+    packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("at").cast("long"), 1)).bitwiseOR(F.col("done").cast("long"))
+    flagged = flagged.select("word", "class", "place", "sketch", packed.alias("packed"))
+    a, b = (flagged.select("word", *[F.col(c).alias(f"{x}{c}") for c in ("class", "place", "sketch", "packed")]) for x in "ab")
+    n, m = (F.shiftright(f"{x}packed", 32).cast("int") for x in "ab")
+    at, to = (F.shiftright(F.col(f"{x}packed").bitwiseAND(F.lit((1 << 32) - 1)), 1).cast("int") for x in "ab")
+    placed = F.least(n - at, m - to) >= shared(n, m, percent)
+    # classes of one place meet both ways; a condition on b alone would be another exchange
+    later = (F.col("aplace") <= F.col("bplace")) & (F.col("aclass") != F.col("bclass")) & ((F.col("bpacked").bitwiseAND(F.lit(1)) == 0) | (F.col("apacked") < 0))
+    met = a.join(b, "word").filter(later & alike(n, m, F.col("asketch"), F.col("bsketch"), percent))
+    met = met.groupBy(F.col("aclass").alias("a"), F.col("bclass").alias("b"), n.alias("n"), m.alias("m")).agg(F.count("*").alias("common"), F.max(placed).alias("placed"))
+    # the first word in common is placed; and words that aren't in both prefixes are behind that prefix which ends first
+    behind = F.greatest(needed(F.col("n"), percent), needed(F.col("m"), percent)) - 1
+    return met.filter(F.col("placed") & (F.col("common") + behind >= shared(F.col("n"), F.col("m"), percent))).select("a", "b")
 
 
 def linked(each: DataFrame, percent: int = PERCENT) -> DataFrame:
     """class: those that an earlier class links to."""
     told = materialize(prefixes(each, percent), "prefixes")
-    entries = told.select("class", "place", "line", "n", "sketch", F.posexplode("prefix").alias("at", "word"))
-    # any entry may be the head, an early one settles most; numbers of fixed width keep the aggregation in hash tables
-    early = F.col("place").cast("double") * (1 << 20) + F.col("line")
-    heads = entries.groupBy("word").agg(*[F.min_by(c, early).alias(f"a{c}") for c in ("class", "n", "at", "sketch")], F.max("class").alias("last"), F.min("class").alias("least"))
-    heads = heads.filter("least < last").select("word", F.col("aclass").alias("a"), "an", "aat", "asketch")
-    near = entries.join(heads, "word").filter((F.col("class") != F.col("a")) & fits("", "a", percent)).select("a", F.col("class").alias("b"), F.col("an").alias("na"), F.col("n").alias("nb")).distinct()
-    near = materialize(near, "head_pairs")
-    settled = materialize(verified(near, each, percent).select(F.col("b").alias("class")).distinct(), "settled")
+    with hash_joins(each.sparkSession):
+        near = materialize(head_pairs(told, percent), "head_pairs")
+    settled = verified(near, each, percent)
     discard(near)
-    done = settled.select("class", F.lit(True).alias("done"))
-    # settled classes have a negative n: both sides of the join read the same columns, and are one exchange
-    signed = F.when(F.col("done"), -F.col("n")).otherwise(F.col("n")).alias("n")
-    flagged = told.join(small(done), "class", "left").select("class", "place", "line", signed, "sketch", F.posexplode("prefix").alias("at", "word"))
-    a, b = (flagged.select("word", *[F.col(c).alias(f"{x}{c}") for c in ("class", "place", "line", "n", "sketch", "at")]) for x in "ab")
-    # what is settled needn't be met by an earlier class; classes of equal place and line meet both ways
-    later = (F.col("aplace") < F.col("bplace")) | ((F.col("aplace") == F.col("bplace")) & (F.col("aline") <= F.col("bline"))) if not_text(each) else F.col("aplace") <= F.col("bplace")
-    met = a.join(b, "word").filter(later & ((F.col("bn") > 0) | (F.col("an") == 0)) & (F.col("aclass") != F.col("bclass")) & fits("a", "b", percent))
-    pairs = materialize(met.select(F.col("aclass").alias("a"), F.col("bclass").alias("b"), F.abs("an").alias("na"), F.abs("bn").alias("nb")).distinct(), "pairs")
+    with hash_joins(each.sparkSession):
+        pairs = materialize(list_pairs(told, settled, percent), "pairs")
     discard(told)
-    out = materialize(verified(pairs, each, percent).select(F.col("b").alias("class")).union(settled).distinct(), "linked")
+    out = materialize(verified(pairs, each, percent).union(settled).distinct(), "linked")
     discard(pairs, settled)
     return out
 

@@ -447,6 +447,26 @@ def test_line_dedup(spark, empty):
     assert line_dedup.dedup(empty).count() == 0
 
 
+def test_long_lines_that_share_words_are_not_all_compared(spark, monkeypatch):
+    """Sketches tell nothing of long lines; the words that their prefixes share do, and no link is lost by it."""
+    r = random.Random(3)
+    data = [(i, " ".join(r.sample([f"w{k}" for k in range(800)], 200))) for i in range(40)]
+    for i, (at, n) in enumerate([(3, 5), (3, 15), (7, 22), (9, 23), (11, 40)]):
+        words = data[at][1].split(" ")
+        data.append((100 + i, "\n".join([" ".join(words[n:] + [f"new{i}x{k}" for k in range(n)]), f"a\vb c{i}"])))
+    wrote, write = {}, line_dedup.materialize
+
+    def told(df, name):
+        out = write(df, name)
+        wrote[name] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", told)
+    found = {x.doc_id: x.n_removed for x in line_dedup.dedup(spark.createDataFrame(data, "doc_id long, text string").repartition(2)).collect()}
+    # 200 words of which n are others: 200 - n in common, 200 + n in all
+    assert {i for i, n in found.items() if n} == {100, 101, 102} and wrote["pairs"] < 20
+
+
 def rarity_of(sets):
     """Exact: every hash is told by itself."""
     value, count = np.unique(np.concatenate(sets), return_counts=True)
