@@ -1,7 +1,7 @@
 """Line dedup: an exact set-similarity join of lines, and the text without later matches.
 
 A line's set is its distinct words, lower-cased; lines of one set are a class. Words are ordered by rarity, counted
-over classes in 2^16 hashed buckets, on a logarithmic scale (any fixed order is exact; this one puts frequent words
+over classes in 2^18 hashed buckets, on a logarithmic scale (any fixed order is exact; this one puts frequent words
 last). Classes meet on the words of their prefix; size, the words' places and a parity sketch of 64 bits (no more bits
 differ than words do) bound the overlap, and the Jaccard similarity of what is left is verified on the words. A line
 goes if an earlier line, by doc_id and line number, is of its class or links to it.
@@ -28,7 +28,7 @@ from pyspark.sql.types import IntegralType
 
 from loamline.llm.common import columns, discard, hash_joins, materialize, small
 
-PERCENT, BUCKETS = 80, 1 << 16
+PERCENT, BUCKETS = 80, 1 << 18
 
 
 def plain(text: Column) -> Column:
@@ -158,7 +158,9 @@ def list_pairs(told: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
     placed = F.least(n - at, m - to) >= shared(n, m, percent)
     # classes of one place meet both ways; a condition on b alone would be another exchange
     later = (F.col("aplace") <= F.col("bplace")) & (F.col("aclass") != F.col("bclass")) & ((F.col("bpacked").bitwiseAND(F.lit(1)) == 0) | (F.col("apacked") < 0))
-    met = a.join(b, "word").filter(later & alike(n, m, F.col("asketch"), F.col("bsketch"), percent))
+    # of the words in common, no more than the lesser place are before this one, and no more than the shorter rest from it on
+    around = F.least(at, to) + F.least(n - at, m - to) >= shared(n, m, percent)
+    met = a.join(b, "word").filter(later & around & alike(n, m, F.col("asketch"), F.col("bsketch"), percent))
     met = met.groupBy(F.col("aclass").alias("a"), F.col("bclass").alias("b"), n.alias("n"), m.alias("m")).agg(F.count("*").alias("common"), F.max(placed).alias("placed"))
     # the first word in common is placed; and words that aren't in both prefixes are behind that prefix which ends first
     behind = F.greatest(needed(F.col("n"), percent), needed(F.col("m"), percent)) - 1
