@@ -1,15 +1,16 @@
 """Line dedup: an exact set-similarity join of lines, and the text without later matches.
 
-A line's set is its distinct words, lower-cased; lines of one set are a class. Words are ordered by rarity, counted
-over classes in 2^18 hashed buckets, on a logarithmic scale (any fixed order is exact; this one puts frequent words
-last). Classes meet on the words of their prefix; size, the words' places and a parity sketch of 64 bits (no more bits
-differ than words do) bound the overlap, and the Jaccard similarity of what is left is verified on the words. A line
-goes if an earlier line, by doc_id and line number, is of its class or links to it.
+A line's set is its distinct words, lower-cased; lines of one lower-cased text are a class. Words are ordered by
+rarity, counted over classes in 2^18 hashed buckets, on a logarithmic scale (any fixed order is exact; this one puts
+frequent words last). Classes meet on the words of their prefix; size, the words' places and a parity sketch of 64 bits,
+or 128 for long lines (no more bits differ than words do), bound the overlap, and the Jaccard similarity of what is left
+is verified on the words. A line goes if an earlier line, by doc_id and line number, is of its class or links to it.
 
 Only that an earlier line links matters, not how many do. So classes are first held against the earliest of each list
 that they stand in, a row an entry, which settles nearly all of a group of near copies; those that are left are then
-joined with all of their lists. The join is a plain one, which adaptive execution splits where a word is hot. DataFrame
-and SQL functions only.
+joined with all of their lists. A list is of one word and one range of sizes: a class stands in its own range, and looks
+for classes of its size or more there and in the next range, with the shorter prefix that suffices for those. The join is
+a plain one, which adaptive execution splits where a word is hot. DataFrame and SQL functions only.
 
 Defined cases: null texts stay null and have no lines; lines without words always stay; repeated rows count as one
 document, of which each gets the same result; a null doc_id comes first; an empty table gives no rows; a long text is
@@ -29,6 +30,9 @@ from pyspark.sql.types import IntegralType
 from loamline.llm.common import columns, discard, hash_joins, materialize, small
 
 PERCENT, BUCKETS = 80, 1 << 18
+#: Words from which a line has a sketch of 128 bits, those from which the words that a pair shares are counted over
+#: whole prefixes, and those from which sizes aren't told apart.
+WIDE, LONG, LONGEST = 64, 256, 4096
 
 
 def plain(text: Column) -> Column:
@@ -59,15 +63,11 @@ def needed(n: Column, percent: int) -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, line (from 0), words, class of each line with words; each distinct document once."""
+    """doc_id, text_key, line (from 0), body, class of each line with words; each distinct document once."""
     # a text's hash is taken before its lines are told apart, else it would be worked out for each of them
     d = columns(docs, "doc_id", "text").select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     d = d.select("doc_id", "text_key", F.posexplode(F.split(plain(F.col("text")), "\n", -1)).alias("line", "body"))
-    # blank lines go by their text, since a condition on the words would work them out twice;
-    # one string: an array of short strings takes three times the room in a shuffle
-    d = d.filter(F.trim("body") != "").select("doc_id", "text_key", "line", line_words(F.col("body")).alias("words"))
-    # numbers sort quicker than words, and the hash of the sorted hashes is the set's, whatever the words' order
-    return d.select("doc_id", "text_key", "line", F.array_join("words", " ").alias("words"), F.xxhash64(F.sort_array(hashes(F.col("words")))).alias("class"))
+    return d.filter(F.trim("body") != "").withColumn("class", F.xxhash64("body"))
 
 
 def not_text(each: DataFrame) -> bool:
@@ -77,33 +77,64 @@ def not_text(each: DataFrame) -> bool:
 
 def classes(found: DataFrame) -> DataFrame:
     """class (a number, which takes less room than the hash once it is written), first (doc_id, text_key, line of its first line), words."""
-    each = found.groupBy("class").agg(F.min(F.struct("doc_id", "text_key", "line")).alias("first"), F.first("words").alias("words"))
-    return each.select(F.monotonically_increasing_id().alias("class"), "first", "words")
+    each = found.groupBy("class").agg(F.min(F.struct("doc_id", "text_key", "line")).alias("first"), F.first("body").alias("body"))
+    # words are told apart once a class, and written as one string
+    return each.select(F.monotonically_increasing_id().alias("class"), "first", F.array_join(line_words(F.col("body")), " ").alias("words"))
 
 
 def rarity(each: DataFrame) -> Column:
     """A literal array: the logarithm of the number of classes with a word of each hashed bucket (BUCKETS numbers,
-    whatever the data)."""
-    counts = each.select(F.explode(F.split("words", " ")).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.round(F.log2(F.count("*")) * 512).cast("int").alias("n"))
-    table = [0] * BUCKETS
+    whatever the data). Bytes, since Java has each of them once: of longs, each is an object of its own, and looking up
+    a word's missed the CPU's caches twice."""
+    counts = each.select(F.explode(F.split("words", " ")).alias("w")).groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).agg(F.least(F.round(F.log2(F.count("*")) * 8).cast("int"), F.lit(255)).alias("n"))
+    table = [-128] * BUCKETS
     for r in counts.collect():
-        table[r.b] = r.n
-    return F.from_json(F.lit(json.dumps([n << 48 for n in table])), "array<bigint>")
+        table[r.b] = r.n - 128
+    return listed(table, "tinyint")
+
+
+def listed(numbers: list[int], kind: str) -> Column:
+    """A literal array."""
+    return F.from_json(F.lit(json.dumps(numbers)), f"array<{kind}>")
+
+
+def ranges(percent: int) -> tuple[list[int], list[int]]:
+    """The number of each size's range, and the first size of the next one. A class of a range links, of classes of its
+    size or more, to those of that range and the next only; the last range has no end."""
+    following = lambda n: max(n * 100 // percent, n * 5 // 4) + 1
+    number, end, at, low = [0], [1], 1, 1
+    while low < LONGEST:
+        after = following(low)
+        last = following(after) > LONGEST  # else the last range would be too short
+        number += [at] * ((LONGEST if last else after) - low)
+        end += [(1 << 31) - 1 if last else after] * ((LONGEST if last else after) - low)
+        at, low = at + 1, LONGEST if last else after
+    return number, end
 
 
 def prefixes(each: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """class, place, line, n, sketch, prefix: the codes of its rarest words; place and line are those of its first line. A code is a word's rank and hash; words of
-    one code only add candidates."""
+    """class, place, line, n, sketch, more, range, own, over, prefix: the codes of its rarest words; place and line are
+    those of its first line; range is that of its size; of the prefix, the first own words meet classes of that range and
+    its size or more, the first over ones those of the next. A code is a word's rank and hash; words of one code only add
+    candidates."""
     rank = rarity(each)
-    coded = lambda h: F.get(rank, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 16))
+    coded = lambda h: F.shiftleft(F.get(rank, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long"), 48).bitwiseOR(F.shiftrightunsigned(h, 16))
     each = each.withColumn("doc_id", F.col("first.doc_id"))
     at = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))) if not_text(each) else place("doc_id")
     each = each.select("class", at.alias("place"), F.col("first.line").alias("line"), hashes(F.split("words", " ")).alias("hashes"))
-    parity = F.aggregate("hashes", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))))
+    bit = lambda one, h: F.call_function("shiftleft", one, F.shiftrightunsigned(h, 58).cast("int"))
+    parity = lambda one: F.aggregate("hashes", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(one(h), h)))
     n = F.size("hashes")
+    more = F.when(n >= WIDE, parity(lambda h: F.shiftrightunsigned(h, 57).bitwiseAND(F.lit(1).cast("long")))).otherwise(F.lit(0).cast("long"))
+    number, end = (F.get(listed(x, "bigint"), F.least(n, F.lit(LONGEST - 1))) for x in ranges(percent))
+    # a partner of m words or more shares so many that one is among these; long classes count words over whole prefixes
+    whole = n - needed(n, percent) + 1
+    first = lambda m: F.when(n >= LONG, whole).otherwise(n - shared(n, m, percent) + 1).cast("int")
+    over = F.when(end * percent <= n * 100, first(end)).otherwise(0)
     return each.select(
-        "class", "place", "line", n.alias("n"), parity.alias("sketch"),
-        F.slice(F.sort_array(F.transform("hashes", coded)), 1, n - needed(n, percent) + 1).alias("prefix"),
+        "class", "place", "line", n.alias("n"), parity(lambda h: F.lit(1).cast("long")).alias("sketch"), more.alias("more"),
+        number.cast("int").alias("range"), first(n).alias("own"), over.alias("over"),
+        F.slice(F.sort_array(F.transform("hashes", coded)), 1, whole).alias("prefix"),
     )
 
 
@@ -137,34 +168,52 @@ def head_pairs(told: DataFrame, percent: int) -> DataFrame:
     hashed = F.sort_array(F.transform("prefix", lambda c: c.bitwiseAND(F.lit((1 << 48) - 1))))
     # any class may be the head, an early one settles most; numbers of fixed width keep the aggregation in hash tables
     early = F.col("place").cast("double") * (1 << 20) + F.col("line")
-    entries = told.select("class", early.alias("early"), "n", "sketch", F.explode(F.slice(hashed, 1, F.lit(2) + F.ceil(F.size("prefix") / 5).cast("int"))).alias("word"))
+    entries = told.select("class", early.alias("early"), "n", "sketch", F.explode(F.slice(hashed, 1, F.lit(2) + F.ceil(F.size("prefix") / 10).cast("int"))).alias("word"))
     heads = entries.groupBy("word").agg(*[F.min_by(c, "early").alias(f"a{c}") for c in ("class", "n", "sketch")], F.count("*").alias("many"))
     heads = heads.filter("many > 1").select("word", F.col("aclass").alias("a"), "an", "asketch")
     near = entries.select("word", "class", "n", "sketch").join(heads, "word")
     return near.filter((F.col("class") != F.col("a")) & alike(F.col("n"), F.col("an"), F.col("sketch"), F.col("asketch"), percent)).select("a", F.col("class").alias("b")).distinct()
 
 
-def list_pairs(told: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
-    """a, b: all pairs of a list that may link, of which the later isn't settled."""
+def list_rows(told: DataFrame, settled: DataFrame, percent: int, half: int) -> DataFrame:
+    """a, b, n, m (their sizes), common, placed: what the lists of half of the words say of the pairs that may link, of
+    which the later isn't settled. a is the one of fewer words."""
     done = F.when(F.col("done"), 1).otherwise(0)
     flagged = told.join(small(settled.select("class", F.lit(True).alias("done"))), "class", "left")
-    # both sides of the join read the same columns, few and packed (size, place in the prefix, whether settled), and are one exchange
-    flagged = flagged.select("class", "place", "sketch", "n", done.alias("done"), F.posexplode("prefix").alias("at", "word"))
-    packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("at").cast("long"), 1)).bitwiseOR(F.col("done").cast("long"))
-    flagged = flagged.select("word", "class", "place", "sketch", packed.alias("packed"))
-    a, b = (flagged.select("word", *[F.col(c).alias(f"{x}{c}") for c in ("class", "place", "sketch", "packed")]) for x in "ab")
+    kept = ["class", "place", "sketch", "more"]
+    flagged = flagged.select(*kept, "n", "range", "own", "over", done.alias("done"), F.posexplode("prefix").alias("at", "word"))
+    flagged = flagged.filter(F.col("word").bitwiseAND(F.lit(1).cast("long")) == half)
+    # few columns, and packed: size, place in the prefix, whether settled
+    packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("at").cast("long"), 1)).bitwiseOR(F.col("done").cast("long")).alias("packed")
+    listed_at = lambda number: F.col("word").bitwiseXOR(F.shiftleft(number.cast("long"), 48)).alias("list")
+    looks = flagged.filter("at < own").select(*kept, packed, "word", F.explode(F.sequence("range", F.col("range") + (F.col("at") < F.col("over")).cast("int"))).alias("range"))
+    a, b = (t.select(listed_at(F.col("range")), *[F.col(c).alias(f"{x}{c}") for c in kept], (packed if x == "b" else F.col("packed")).alias(f"{x}packed")) for x, t in (("a", looks), ("b", flagged)))
     n, m = (F.shiftright(f"{x}packed", 32).cast("int") for x in "ab")
     at, to = (F.shiftright(F.col(f"{x}packed").bitwiseAND(F.lit((1 << 32) - 1)), 1).cast("int") for x in "ab")
-    placed = F.least(n - at, m - to) >= shared(n, m, percent)
-    # classes of one place meet both ways; a condition on b alone would be another exchange
-    later = (F.col("aplace") <= F.col("bplace")) & (F.col("aclass") != F.col("bclass")) & ((F.col("bpacked").bitwiseAND(F.lit(1)) == 0) | (F.col("apacked") < 0))
-    # of the words in common, no more than the lesser place are before this one, and no more than the shorter rest from it on
-    around = F.least(at, to) + F.least(n - at, m - to) >= shared(n, m, percent)
-    met = a.join(b, "word").filter(later & around & alike(n, m, F.col("asketch"), F.col("bsketch"), percent))
-    met = met.groupBy(F.col("aclass").alias("a"), F.col("bclass").alias("b"), n.alias("n"), m.alias("m")).agg(F.count("*").alias("common"), F.max(placed).alias("placed"))
-    # the first word in common is placed; and words that aren't in both prefixes are behind that prefix which ends first
+    least = shared(n, m, percent)
+    # the first word in common is placed; of all words in common, no more than the lesser place are before this one, and
+    # no more than the shorter rest from it on
+    placed = F.least(n - at, m - to) >= least
+    around = F.least(at, to) + F.least(n - at, m - to) >= least
+    opened = lambda x: F.col(f"{x}packed").bitwiseAND(F.lit(1).cast("long")) == 0
+    later = ((F.col("aplace") <= F.col("bplace")) & opened("b")) | ((F.col("aplace") >= F.col("bplace")) & opened("a"))
+    sized = ((n < m) | ((n == m) & (F.col("aclass") < F.col("bclass")))) & (n * 100 >= m * percent)
+    differ, others = F.col("asketch").bitwiseXOR(F.col("bsketch")), F.col("amore").bitwiseXOR(F.col("bmore"))
+    sketched = F.when(n < WIDE, F.bit_count(differ)).otherwise(F.bit_count(differ.bitwiseXOR(others)) + F.bit_count(others)) <= n + m - 2 * least
+    met = a.join(b, "list").filter(sized & F.when(n < LONG, placed).otherwise(around) & sketched & later)
+    return met.groupBy(F.col("aclass").alias("a"), F.col("bclass").alias("b"), n.alias("n"), m.alias("m")).agg(F.count("*").alias("common"), F.max(placed).alias("placed"))
+
+
+def list_pairs(told: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """a, b: all pairs of a list that may link, of which the later isn't settled."""
+    # one half after the other, which takes half the room
+    halves = [materialize(list_rows(told, settled, percent, half), "list_rows") for half in (0, 1)]
+    met = halves[0].union(halves[1]).groupBy("a", "b", "n", "m").agg(F.sum("common").alias("common"), F.max("placed").alias("placed"))
+    # words that aren't in both whole prefixes are behind that prefix which ends first
     behind = F.greatest(needed(F.col("n"), percent), needed(F.col("m"), percent)) - 1
-    return met.filter(F.col("placed") & (F.col("common") + behind >= shared(F.col("n"), F.col("m"), percent))).select("a", "b")
+    out = materialize(met.filter(F.col("placed") & ((F.col("n") < LONG) | (F.col("common") + behind >= shared(F.col("n"), F.col("m"), percent)))).select("a", "b"), "pairs")
+    discard(*halves)
+    return out
 
 
 def linked(each: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -175,7 +224,7 @@ def linked(each: DataFrame, percent: int = PERCENT) -> DataFrame:
     settled = verified(near, each, percent)
     discard(near)
     with hash_joins(each.sparkSession):
-        pairs = materialize(list_pairs(told, settled, percent), "pairs")
+        pairs = list_pairs(told, settled, percent)
     discard(told)
     out = materialize(verified(pairs, each, percent).union(settled).distinct(), "linked")
     discard(pairs, settled)

@@ -467,6 +467,49 @@ def test_long_lines_that_share_words_are_not_all_compared(spark, monkeypatch):
     assert {i for i, n in found.items() if n} == {100, 101, 102} and wrote["pairs"] < 20
 
 
+def joined(spark, run):
+    """What run() returns, and the most rows that a join of it made."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = {store.executionsList().apply(i).executionId() for i in range(store.executionsList().size())}
+    out, most = run(), 0
+    spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty()
+    for i in range(store.executionsList().size()):
+        if (one := store.executionsList().apply(i).executionId()) not in before:
+            nodes, made = store.planGraph(one).allNodes(), store.executionMetrics(one)
+            for node in (nodes.apply(k) for k in range(nodes.size())):
+                told = [m.accumulatorId() for m in (node.metrics().apply(k) for k in range(node.metrics().size())) if m.name() == "number of output rows"]
+                if "Join" in node.name() and told and made.contains(told[0]):
+                    most = max(most, int(made.apply(told[0]).replace(",", "")))
+    return out, most
+
+
+def test_lines_meet_few_others_and_lose_no_link(spark):
+    """Near copies of all sizes, at both sides of the limit and in any order of words, among long lines that share words."""
+    r = random.Random(5)
+    said = [r.sample([f"w{k}" for k in range(20_000)], n) for n in [*range(1, 60), 63, 64, 65, 92, 93, 117, 146, 147, 184, 231, 255, 256, 257, 319, 320]]
+    near = []
+    for one in said:
+        for fewer, more in ((0, 0), (len(one) // 5, 0), (len(one) // 5 + 1, 0), (0, len(one) // 4), (0, len(one) // 4 + 1), (len(one) // 9, len(one) // 9), (len(one) // 9 + 1, len(one) // 9)):
+            changed = one[fewer:] + [f"new{len(near)}x{k}" for k in range(more)]
+            near.append(r.sample(changed, len(changed)))
+    data = said + near + [r.sample([f"w{k}" for k in range(20_000)], r.randrange(180, 220)) for _ in range(600)]
+    r.shuffle(data)
+    run = lambda: {x.doc_id: x.n_removed for x in line_dedup.dedup(spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(data)], "doc_id long, text string").repartition(3)).collect()}
+    found, most = joined(spark, run)
+    sets = [set(x) for x in data]
+    assert found == {i: int(bool(x) and any(5 * len(x & y) >= 4 * len(x | y) for y in sets[:i])) for i, x in enumerate(sets)}
+    assert most < 5_000, most
+
+
+def test_ranges_of_sizes_hold_partners():
+    for percent in (50, 80, 95, 100):
+        number, end = line_dedup.ranges(percent)
+        at = lambda n: number[min(n, line_dedup.LONGEST - 1)]
+        for n in range(1, 2 * line_dedup.LONGEST):
+            most = n * 100 // percent
+            assert at(most) - at(n) in (0, 1) and (at(most) == at(n) or at(end[n]) == at(n) + 1 == at(end[n] - 1) + 1)
+
+
 def rarity_of(sets):
     """Exact: every hash is told by itself."""
     value, count = np.unique(np.concatenate(sets), return_counts=True)
