@@ -1,7 +1,7 @@
 """Line dedup: an exact set-similarity join of lines, and the text without later matches.
 
 A line's set is its distinct words, lower-cased; lines of one lower-cased text are a class. Words are ordered by
-rarity, counted over classes in 2^18 hashed buckets, on a logarithmic scale (any fixed order is exact; this one puts
+rarity, counted over classes in hashed buckets (some 32 classes each, 2^18 at most), on a logarithmic scale (any fixed order is exact; this one puts
 frequent words last). Classes meet on the words of their prefix; size, the words' places and a parity sketch of 64 bits,
 or 128 for long lines (no more bits differ than words do), bound the overlap, and the Jaccard similarity of what is left
 is verified on the words. A line goes if an earlier line, by doc_id and line number, is of its class or links to it.
@@ -48,8 +48,9 @@ def line_words(line: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(line, " ")), "")
 
 
-def hashes(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
+def hashes(line: Column) -> Column:
+    """Those of the distinct words of a line of plain text; numbers are told apart quicker than words."""
+    return F.array_distinct(F.array_remove(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
 
 
 def place(doc_id: str) -> Column:
@@ -76,18 +77,22 @@ def not_text(each: DataFrame) -> bool:
 
 
 def classes(found: DataFrame) -> DataFrame:
-    """class (a number, which takes less room than the hash once it is written), first (doc_id, text_key, line of its first line), words."""
+    """class (a number, which takes less room than the hash once it is written), first (doc_id, text_key, line of its first line), body."""
     each = found.groupBy("class").agg(F.min(F.struct("doc_id", "text_key", "line")).alias("first"), F.first("body").alias("body"))
-    # words are told apart once a class, and written as one string
-    return each.select(F.monotonically_increasing_id().alias("class"), "first", F.array_join(line_words(F.col("body")), " ").alias("words"))
+    return each.select(F.monotonically_increasing_id().alias("class"), "first", "body")
 
 
-def rarity(each: DataFrame) -> Column:
-    """A literal array: the logarithm of the number of classes with a word of each hashed bucket (BUCKETS numbers,
-    whatever the data). Bytes, since Java has each of them once: of longs, each is an object of its own, and looking up
-    a word's missed the CPU's caches twice."""
-    counts = each.select(F.explode(F.split("words", " ")).alias("w")).groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).agg(F.least(F.round(F.log2(F.count("*")) * 8).cast("int"), F.lit(255)).alias("n"))
-    table = [-128] * BUCKETS
+def buckets(each: DataFrame) -> int:
+    """A power of two: a few are looked up quicker, many tell words of large tables apart."""
+    return min(BUCKETS, max(1 << 10, 1 << (each.count() // 32).bit_length()))
+
+
+def rarity(each: DataFrame, size: int) -> Column:
+    """A literal array: the logarithm of the number of times that classes have words of each of size hashed buckets.
+    Bytes, since Java has each of them once: of longs, each is an object of its own, and looking up a word's missed the
+    CPU's caches twice."""
+    counts = each.select(F.explode(F.split("body", " ")).alias("w")).groupBy(F.xxhash64("w").bitwiseAND(F.lit(size - 1)).cast("int").alias("b")).agg(F.least(F.round(F.log2(F.count("*")) * 8).cast("int"), F.lit(255)).alias("n"))
+    table = [-128] * size
     for r in counts.collect():
         table[r.b] = r.n - 128
     return listed(table, "tinyint")
@@ -117,11 +122,11 @@ def prefixes(each: DataFrame, percent: int = PERCENT) -> DataFrame:
     those of its first line; range is that of its size; of the prefix, the first own words meet classes of that range and
     its size or more, the first over ones those of the next. A code is a word's rank and hash; words of one code only add
     candidates."""
-    rank = rarity(each)
-    coded = lambda h: F.shiftleft(F.get(rank, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long"), 48).bitwiseOR(F.shiftrightunsigned(h, 16))
+    rank = rarity(each, size := buckets(each))
+    coded = lambda h: F.shiftleft(F.get(rank, h.bitwiseAND(F.lit(size - 1)).cast("int")).cast("long"), 48).bitwiseOR(F.shiftrightunsigned(h, 16))
     each = each.withColumn("doc_id", F.col("first.doc_id"))
     at = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))) if not_text(each) else place("doc_id")
-    each = each.select("class", at.alias("place"), F.col("first.line").alias("line"), hashes(F.split("words", " ")).alias("hashes"))
+    each = each.select("class", at.alias("place"), F.col("first.line").alias("line"), hashes(F.col("body")).alias("hashes"))
     bit = lambda one, h: F.call_function("shiftleft", one, F.shiftrightunsigned(h, 58).cast("int"))
     parity = lambda one: F.aggregate("hashes", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(one(h), h)))
     n = F.size("hashes")
@@ -153,7 +158,8 @@ def verified(pairs: DataFrame, each: DataFrame, percent: int) -> DataFrame:
     """class: of the pairs (a, b) of classes whose Jaccard similarity is at least percent, the one that comes later."""
     of = materialize(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "involved")
     words = materialize(each.join(small(of), "class", "left_semi"), "words")
-    side = lambda x: words.select(F.col("class").alias(x), F.col("words").alias(f"w{x}"), F.col("first").alias(f"f{x}"))
+    # told apart below the joins, once a class: a filter above them would do it again wherever it names them
+    side = lambda x: words.select(F.col("class").alias(x), F.array_join(line_words(F.col("body")), " ").alias(f"w{x}"), F.col("first").alias(f"f{x}"))
     met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "fa", "fb", F.split("wa", " ").alias("wa"), F.split("wb", " ").alias("wb"))
     # common * 100 >= (na + nb - common) * percent, in which the costly side stands once
     met = met.filter(F.size(F.array_intersect("wa", "wb")) * (100 + percent) >= (F.size("wa") + F.size("wb")) * percent)
